@@ -1,0 +1,59 @@
+"""Queries of the subpackage, and the SQL of those that SQL can express."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafmill.llm import encoding, mixing, repeats
+from leafmill.session import table
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.repeated_lines(table(spark, folder, "fetch_attempts"), "tree_id", "page_id", "markdown")
+    return found.select(F.col("page").alias("page_id"), "line_no")
+
+
+def p4_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "fetch_attempts").where(F.col("markdown").rlike(r"\S"))
+    return repeats.without_repeated_lines(pages, "tree_id", "page_id", "markdown")
+
+
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.encode_texts(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p6_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.decode_ids(p6_ids(spark, folder), "doc_id", "ids")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.found_short(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.shares(*mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")))
+
+
+QUERIES = {"p4_found": p4_found, "p4_cleaned": p4_cleaned, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares}
+
+#: DuckDB: lines of a page compared in lower case with digit runs and white space runs folded.
+P4_SQL = r"""
+WITH lines AS (
+  SELECT DISTINCT tree_id, page_id, i AS line_no,
+    trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) AS c
+  FROM (SELECT tree_id, page_id, unnest(string_split(markdown, chr(10))) AS l, generate_subscripts(string_split(markdown, chr(10)), 1) AS i
+        FROM fetch_attempts WHERE markdown IS NOT NULL)
+), long AS (
+  SELECT * FROM lines WHERE length(regexp_replace(c, '[^\p{L}\p{N}]+', '', 'g')) >= 12
+), hot AS (
+  SELECT tree_id, c FROM long GROUP BY tree_id, c HAVING count(DISTINCT page_id) >= 5
+)
+SELECT page_id, CAST(line_no AS INTEGER) AS line_no FROM long JOIN hot USING (tree_id, c)
+"""
+
+ORACLES = {"p4_found": P4_SQL}
