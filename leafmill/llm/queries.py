@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import encoding, mixing, repeats
+from leafmill.llm import content, encoding, mixing, repeats, spans
 from leafmill.session import table
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return content.boilerplate_lines(table(spark, folder, "fetch_attempts"), table(spark, folder, "page_trees"))
+
+
+def p3_content(spark: SparkSession, folder: str) -> DataFrame:
+    return content.main_content(table(spark, folder, "fetch_attempts"), table(spark, folder, "page_trees"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.repeated_lines(table(spark, folder, "fetch_attempts"), "tree_id", "page_id", "markdown")
     return found.select(F.col("page").alias("page_id"), "line_no")
@@ -39,7 +47,15 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(*mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")))
 
 
-QUERIES = {"p4_found": p4_found, "p4_cleaned": p4_cleaned, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.shared_spans(table(spark, folder, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id"), "span_start", "span_end")
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.shared_report(table(spark, folder, "documents"), "doc_id", "text").withColumnRenamed("doc", "doc_id")
+
+
+QUERIES = {"p3_found": p3_found, "p3_content": p3_content, "p4_found": p4_found, "p4_cleaned": p4_cleaned, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_report": p8_report}
 
 #: DuckDB: lines of a page compared in lower case with digit runs and white space runs folded.
 P4_SQL = r"""
