@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import content, encoding, mixing, repeats, spans
+from leafmill.llm import content, encoding, mixing, nearest, repeats, spans
 from leafmill.session import table
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = nearest.near_duplicate_pairs(table(spark, folder, "fetch_attempts"), "page_id", "markdown")
+    return pairs.select(F.col("page_a").alias("page_id_a"), F.col("page_b").alias("page_id_b"))
+
+
+def p2_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.near_duplicate_groups(table(spark, folder, "fetch_attempts"), "page_id", "markdown").withColumnRenamed("page", "page_id")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return content.boilerplate_lines(table(spark, folder, "fetch_attempts"), table(spark, folder, "page_trees"))
 
@@ -55,7 +64,7 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_report(table(spark, folder, "documents"), "doc_id", "text").withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {"p3_found": p3_found, "p3_content": p3_content, "p4_found": p4_found, "p4_cleaned": p4_cleaned, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_report": p8_report}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_content": p3_content, "p4_found": p4_found, "p4_cleaned": p4_cleaned, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_report": p8_report}
 
 #: DuckDB: lines of a page compared in lower case with digit runs and white space runs folded.
 P4_SQL = r"""
