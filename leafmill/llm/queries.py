@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import content, encoding, mixing, nearest, repeats, spans
+from leafmill.llm import content, encoding, mixing, nearest, personal, repeats, spans
 from leafmill.session import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    names = table(spark, folder, "person_names")
+    pages = personal.found_lines(table(spark, folder, "fetch_attempts"), "page_id", "markdown", names)
+    meta = table(spark, folder, "page_meta")
+    authors = personal.found_lines(meta, "meta_id", "author", names, one_line=True)
+    return pages.select(F.lit("markdown").alias("src"), "rec_key", "line_no", "kind").unionByName(authors.select(F.lit("author").alias("src"), "rec_key", "line_no", "kind"))
+
+
+def p1_pages(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "fetch_attempts").where(F.col("markdown").rlike(r"\S")).distinct()
+    return personal.redacted(pages, ["page_id", "strategy_idx"], ["markdown"], table(spark, folder, "person_names"))
+
+
+def p1_authors(spark: SparkSession, folder: str) -> DataFrame:
+    meta = table(spark, folder, "page_meta").dropDuplicates(["meta_id"])
+    return personal.redacted(meta, ["meta_id"], ["author"], table(spark, folder, "person_names"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     pairs = nearest.near_duplicate_pairs(table(spark, folder, "fetch_attempts"), "page_id", "markdown")
     return pairs.select(F.col("page_a").alias("page_id_a"), F.col("page_b").alias("page_id_b"))
@@ -64,7 +82,7 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_report(table(spark, folder, "documents"), "doc_id", "text").withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_content": p3_content, "p4_found": p4_found, "p4_cleaned": p4_cleaned, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_report": p8_report}
+QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p1_authors": p1_authors, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_content": p3_content, "p4_found": p4_found, "p4_cleaned": p4_cleaned, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_report": p8_report}
 
 #: DuckDB: lines of a page compared in lower case with digit runs and white space runs folded.
 P4_SQL = r"""
