@@ -33,7 +33,7 @@ LEFT, RIGHT = 26, 22
 
 #: Full-width forms and odd spaces, one for one, so that positions stay.
 _FOLD = {0xFF10 + i: chr(0x30 + i) for i in range(10)} | {0xFF0B: "+", 0xFF08: "(", 0xFF09: ")", 0xFF0D: "-", 0xFF20: "@", 0xFF0E: ".", 0xFF0F: "/", 0xA0: " ", 0x3000: " ", 0x2009: " ", 0x202F: " ", 0x2003: " ", 0x2002: " ", 0x9: " "}
-_FOLDED = re.compile("[０-９＋－＠．／（）\xa0　    \t]")
+_FOLDED = re.compile("[" + "".join(map(chr, _FOLD)) + "]")
 
 _AT = re.compile(r"@|[\[(]\s?(?:at|a|æt)\s?[\])]|(?<=\w) at (?=[\w-]+ dot )", re.I)
 _LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63} ?\Z")
