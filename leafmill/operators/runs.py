@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.functions import text as T
 from leafmill.operators.ranking import ranked
 
 VERSION, ERROR_CHARS, LISTED_CHARS = 1, 2000, 500
@@ -30,9 +29,12 @@ def failure_rows(failed: DataFrame, parts: Column) -> DataFrame:
 
 
 def failure_listing(failures: DataFrame) -> DataFrame:
-    """(line_no, line): the human-readable listing, errors cut to 500 characters; no rows if nothing failed."""
-    rows = ranked(failures.select("page_id", "title", "relative_path", "error").distinct(), [F.col("page_id"), F.col("relative_path")], out="line_no")
-    line = F.format_string("[%d] pageId=%s title=%s path=%s error=%s", "line_no", "page_id", F.coalesce("title", F.lit("")), F.coalesce("relative_path", F.lit("")), F.substring(F.coalesce("error", F.lit("")), 1, LISTED_CHARS))
+    """(line_no, line): one entry a failure, errors cut to 500 characters; no rows if nothing failed. Repeated rows are one entry."""
+    columns = ["page_id", "title", "relative_path", "error", "source_tree_json", "markdown_export_root"]
+    text = {c: F.coalesce(F.col(c) if c in failures.columns else F.lit(None).cast("string"), F.lit("")).alias(c) for c in columns}
+    rows = ranked(failures.select(*text.values()).distinct(), [F.col(c) for c in columns], out="line_no")
+    extra = F.when((F.col("source_tree_json") != "") | (F.col("markdown_export_root") != ""), F.concat(F.lit("\n   树 JSON: "), "source_tree_json", F.lit("\n   导出根: "), "markdown_export_root")).otherwise("")
+    line = F.concat(F.col("line_no").cast("string"), F.lit(". page_id="), "page_id", F.lit(" | "), "title", F.lit("\n   路径: "), "relative_path", extra, F.lit("\n   原因: "), F.substring("error", 1, LISTED_CHARS))
     return rows.select("line_no", line.alias("line"))
 
 
@@ -63,5 +65,6 @@ def run_outcome(statuses: DataFrame) -> DataFrame:
     return out.select("*", (F.col("fail") == 0).alias("completed"), F.lit("completed").alias("status"), F.when(F.col("fail") > 0, 1).otherwise(0).alias("exit_code"))
 
 
-def interrupt_line(at: Column, tree: Column, page_id: Column, reason: Column) -> Column:
-    return F.format_string("[%s] interrupted tree=%s page_id=%s reason=%s", at, tree, page_id, reason)
+def interrupt_line(at: Column, exc: Column, trees_done: Column, ok: Column, fail: Column, skipped: Column, last_page_id: Column, checkpoint: Column) -> Column:
+    """The line an interrupted run appends to its log."""
+    return F.format_string("[%s] status=interrupted exc=%s | trees_done=%d ok=%d fail=%d skipped=%d | last_page_id=%s | checkpoint=%s", at, exc, trees_done, ok, fail, skipped, last_page_id, checkpoint)
