@@ -129,11 +129,11 @@ def remove_navigation(df: DataFrame, text: str, skip: list[str] | None = None, r
     rules = (skip or SKIP_MENU, related or RELATED_HINTS, nav or NAV_WORDS)
     words = [w for group in rules for w in group]
 
-    @F.pandas_udf(StringType())
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: without_navigation(t, *rules) if t is not None and any(w in t for w in words) else t)
 
-    return df.withColumn(text, clean(F.col(text)))
+    # declared non-deterministic so that the optimizer doesn't copy it into the steps behind it
+    return df.withColumn(text, F.pandas_udf(clean, StringType()).asNondeterministic()(F.col(text)))
 
 
 def remove_tree_sidebar(df: DataFrame, text: str) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from leafmill.functions import text as T
+
 VOID = {"br", "img", "hr", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 SILENT = {"script", "style", "head", "title", "noscript", "template"}
 BLOCKS = {"p", "div", "section", "article", "main", "header", "footer", "nav", "aside", "figure", "form", "address", "dl", "dt", "dd", "fieldset"}
@@ -209,4 +211,4 @@ def absolute_links(html: Column, base: Column) -> Column:
 
 def page_title(html: Column, page_id: Column) -> Column:
     found = F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1)
-    return F.coalesce(F.nullif(F.trim(found), F.lit("")), F.concat(F.lit("page_"), page_id))
+    return F.coalesce(T.filled(T.strip(found)), F.concat(F.lit("page_"), page_id))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from leafmill.plans import training
+from leafmill.plans import page_queries, scalars, training
 
-MODULES = [training]
+MODULES = [training, scalars, page_queries]
 FLAGSHIP = training.p5_found
 
 

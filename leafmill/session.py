@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, driver_
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
     )
@@ -34,6 +37,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "leafmill-checkpoints"))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the workers, wherever they run: once per application a zip of its modules goes out through Spark."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="leafmill-"), "leafmill.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(Path(root.name) / f.relative_to(root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint, so that a lost executor does not lose the intermediate table."""
     ensure_checkpoint_dir(df.sparkSession)
