@@ -16,11 +16,12 @@ FORBIDDEN = r'[\\/:*?"<>|]'
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"(?U)\A{WS}+|{WS}+\z", "")
+    return F.regexp_replace(x, rf"(?U)\A{WS}++|(?<!{WS}){WS}++\z", "")
 
 
 def rstrip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"(?U){WS}+\z", "")
+    """The lookbehind lets only the start of a run of white space be tried, so long runs stay linear."""
+    return F.regexp_replace(x, rf"(?U)(?<!{WS}){WS}++\z", "")
 
 
 def lstrip_newlines(x: Column) -> Column:

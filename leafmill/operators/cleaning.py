@@ -58,7 +58,8 @@ def take_metadata(df: DataFrame, text: str, author: str = "author", last_modifie
 def cut_head(df: DataFrame, text: str) -> DataFrame:
     """Drops all through the first line-initial metadata-start link and the white space behind it; unchanged without one."""
     mark = rf"(?Umd)^{T.WS}*\[{ANCHORS[3]}\]{T.WS}*\([^)]*\){T.WS}*"
-    return df.withColumn(text, F.when(F.col(text).rlike(mark), T.lstrip_newlines(F.element_at(F.split(F.col(text), mark, 2), 2))).otherwise(F.col(text)))
+    found = F.contains(F.col(text), F.lit(ANCHORS[3])) & F.col(text).rlike(mark)
+    return df.withColumn(text, F.when(found, T.lstrip_newlines(F.element_at(F.split(F.col(text), mark, 2), 2))).otherwise(F.col(text)))
 
 
 def prepend_front_matter(df: DataFrame, text: str, author: str = "author", last_modified: str = "last_modified") -> DataFrame:
@@ -141,18 +142,26 @@ def remove_tree_sidebar(df: DataFrame, text: str) -> DataFrame:
     the end."""
     df = df.withColumn("__at", F.locate(TREE_START, F.col(text))).withColumn("__rest", F.substring(F.col(text), F.col("__at"), F.length(text)))
     row = F.regexp_extract(F.col("__rest"), rf"(?d)\A[\s\S]*?({TREE_END}[^\n]*)", 0)
-    title = F.regexp_instr(F.col("__rest"), F.lit(r"(?Umd)^#\s+.+$"))
+    title = F.regexp_instr(F.col("__rest"), F.lit(r"(?Umd)^#\s++.+$"))
     end = F.least(F.when(row != "", F.length(row) + 1), F.when(title > 0, title))
     df = df.withColumn("__end", end).withColumn("__before", F.substring(F.col(text), F.lit(1), F.col("__at") - 1))
     cut = F.when(F.col("__end").isNull(), F.concat(T.rstrip(F.col("__before")), F.lit("\n"))).otherwise(F.concat("__before", F.substring(F.col("__rest"), F.col("__end"), F.length("__rest"))))
     return df.withColumn(text, F.when(F.col("__at") > 0, cut).otherwise(F.col(text))).drop("__at", "__rest", "__end", "__before")
 
 
+def _where_any(df: DataFrame, text: str, words: list[str], pattern: str) -> DataFrame:
+    """Removes a pattern from texts that hold one of its words at all; others aren't scanned, whatever white space they have."""
+    has = F.contains(F.col(text), F.lit(words[0]))
+    for w in words[1:]:
+        has = has | F.contains(F.col(text), F.lit(w))
+    return df.withColumn(text, F.when(has, F.regexp_replace(F.col(text), pattern, "")).otherwise(F.col(text)))
+
+
 def remove_buttons(df: DataFrame, text: str, buttons: list[str] | None = None) -> DataFrame:
     """Removes list lines that are a link with a button's label. Two passes reach the fixpoint."""
     pattern = rf"(?Umd)^{T.WS}*[*+]{T.WS}*\[(?:{'|'.join(map(re.escape, buttons or BUTTONS))})\][^\n]*{T.WS}*$"
     for _ in range(2):
-        df = df.withColumn(text, F.regexp_replace(F.col(text), pattern, ""))
+        df = _where_any(df, text, buttons or BUTTONS, pattern)
     return df
 
 
@@ -161,15 +170,15 @@ def clean_ui(df: DataFrame, text: str) -> DataFrame:
 
 
 def remove_anchors(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn(text, F.regexp_replace(F.col(text), rf"\[(?:{'|'.join(ANCHORS)})\]\([^)]*\)", ""))
+    return _where_any(df, text, ANCHORS, rf"\[(?:{'|'.join(ANCHORS)})\]\([^)]*\)")
 
 
 def remove_avatars(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn(text, F.regexp_replace(F.col(text), rf"(?U)\[!\[用户图标:{T.WS}*添加头像\]\([^)]*\)\]\([^)]*\){T.WS}*", ""))
+    return _where_any(df, text, ["添加头像"], rf"(?U)\[!\[用户图标:{T.WS}*添加头像\]\([^)]*\)\]\([^)]*\){T.WS}*")
 
 
 def remove_hash_links(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn(text, F.regexp_replace(F.col(text), rf"(?Umd)^{T.WS}*[*+-]{T.WS}*\[[^\]]+\]\(#\){T.WS}*$", ""))
+    return _where_any(df, text, ["](#)"], rf"(?Umd)^{T.WS}*[*+-]{T.WS}*\[[^\]]+\]\(#\){T.WS}*$")
 
 
 def remove_breadcrumb(df: DataFrame, text: str) -> DataFrame:

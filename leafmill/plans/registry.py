@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from leafmill.plans import page_queries, scalars, training, tree_queries
+from leafmill.plans import file_queries, page_queries, scalars, training, tree_queries
 
-MODULES = [training, scalars, page_queries, tree_queries]
+MODULES = [training, scalars, page_queries, tree_queries, file_queries]
 FLAGSHIP = training.p5_found
 
 
