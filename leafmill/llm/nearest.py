@@ -149,7 +149,7 @@ def lanes_within(planes: np.ndarray, limit: int) -> np.ndarray:
             counter[level], carry = _full_add(counter[level], plane, carry)
         for level in range(4, len(counter)):
             counter[level], carry = counter[level] ^ carry, counter[level] & carry
-        if k + 8 > limit:
+        if k + 8 > limit or k + 8 >= len(planes):
             less, equal = np.zeros_like(ones), ~np.zeros_like(ones)
             for level in range(len(counter) - 1, -1, -1):
                 if limit >> level & 1:
