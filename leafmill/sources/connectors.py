@@ -154,7 +154,7 @@ class _ListingReader(DataSourceReader):
         pages = counted_pages if self.options.get("mode", "linked") == "counted" else linked_pages
         for number, pos, item in pages(backend, self.options.get("path", "/child/page").replace("{id}", partition.page_id), int(self.options.get("limit", "50"))):
             links = item.get("_links") or {}
-            yield partition.page_id, number, pos, str(item.get("id") or ""), item.get("title"), item.get("type"), links.get("download")
+            yield partition.page_id, number, pos, "" if item.get("id") is None else str(item["id"]), item.get("title"), item.get("type"), links.get("download")
 
 
 def _fixture(options: dict[str, str]) -> Backend:
