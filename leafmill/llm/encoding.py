@@ -306,18 +306,19 @@ def decode_ids(df: DataFrame, id_col: str, ids_col: str, vocabulary: str | None
         tokens = encoder(path).transducer.tokens
         plain = {i: t.decode("ascii") for i, t in tokens.items() if max(t) < 0x80}
         for batch in batches:
-            texts = []
-            for ids in batch.column(1).to_pylist():
-                if ids is None:
-                    texts.append(None)
-                    continue
-                machine, out = Utf8Machine(), []
-                for i in ids:
-                    if not machine.need and i in plain:
-                        out.append(plain[i])
-                    elif i in tokens:
-                        out.append(machine.feed(tokens[i]))
-                texts.append("".join(out) + machine.end())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, out_col])
+            for lo in range(0, batch.num_rows, 256):  # keeps the ids of few texts in memory at once
+                texts = []
+                for ids in batch.column(1).slice(lo, 256).to_pylist():
+                    if ids is None:
+                        texts.append(None)
+                        continue
+                    machine, out = Utf8Machine(), []
+                    for i in ids:
+                        if not machine.need and i in plain:
+                            out.append(plain[i])
+                        elif i in tokens:
+                            out.append(machine.feed(tokens[i]))
+                    texts.append("".join(out) + machine.end())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), pa.array(texts, pa.string())], names=[id_col, out_col])
 
     return df.select(id_col, ids_col).mapInArrow(run, schema)
