@@ -19,7 +19,8 @@ def nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages with Markdown, once each."""
-    return table(spark, folder, "fetch_attempts").where(F.col("markdown").rlike(r"(?U)[^\s\x1c-\x1f]")).select("page_id", "tree_id", "markdown").distinct()
+    rows = table(spark, folder, "fetch_attempts").where(F.col("markdown").rlike(r"(?U)[^\s\x1c-\x1f]"))
+    return rows.select("page_id", "tree_id", "markdown").distinct()
 
 
 def wrapped(spark: SparkSession, folder: str) -> DataFrame:

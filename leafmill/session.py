@@ -54,6 +54,15 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A plain scan with at least one partition a core: small inputs, often one row group, are dealt out before Python work; inputs that have enough
+    splits of their own aren't shuffled."""
+    plan, cores = df._jdf.queryExecution().executedPlan(), df.sparkSession.sparkContext.defaultParallelism
+    if plan.nodeName() == "AdaptiveSparkPlan":  # it has shuffles of its own
+        return df
+    return df.repartition(cores) if plan.execute().getNumPartitions() < cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint, so that a lost executor does not lose the intermediate table."""
     ensure_checkpoint_dir(df.sparkSession)
