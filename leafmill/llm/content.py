@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.session import spread
+
 #: Site phrases by language, searched in lines with folded white space and in lower case. Data, replaceable by ``phrases=``.
 PHRASES = {
     "zh": [
@@ -227,7 +229,7 @@ def render(markdown: str | None, rules: PageRules, site: str | None = None) -> s
 
 
 def _pages(pages: DataFrame, sites: DataFrame | None) -> DataFrame:
-    rows = pages.where(F.col("page_id").isNotNull() & F.col("markdown").rlike(r"\S")).select("page_id", "tree_id", "markdown")
+    rows = spread(pages.where(F.col("page_id").isNotNull() & F.col("markdown").rlike(r"\S")).select("page_id", "tree_id", "markdown"))
     if sites is None:
         return rows.select("page_id", "markdown", F.lit(None).cast("string").alias("site"))
     home = sites.groupBy(F.col("tree_id").alias("t")).agg(F.max("base_url").alias("site"))

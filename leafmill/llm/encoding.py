@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leafmill.session import spread
+
 #: The public pattern that splits text before the merges (a fixed value of the vocabulary).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Most pieces whose ids a Python worker keeps; the table starts afresh beyond it.
@@ -240,7 +242,7 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, vocabulary: str | No
                 lists = pa.ListArray.from_arrays(pa.array(offsets), values)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, step), lists], names=[id_col, out_col])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return spread(df.select(F.col(id_col), F.col(text_col))).mapInArrow(run, schema)
 
 
 def count_tokens(df: DataFrame, text_col: str, keep: list[str], vocabulary: str | None = None, out_col: str = "n_tokens") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.spans import _B, _mixed, _powers
-from leafmill.session import cut
+from leafmill.session import cut, spread
 
 SHINGLE, THRESHOLD = 5, 0.6
 ROWS, BANDS = 4, 56
@@ -38,8 +38,8 @@ TILE = 2048
 SAMPLE = 16
 #: Lanes that are compared, and abandoned, together.
 LANES = 8192
-#: More ids than this are joined by shuffle instead of broadcast.
-BROADCAST_IDS = 1_000_000
+#: More records in pairs than this, or four times as many pairs, are joined by shuffle instead of broadcast.
+BROADCAST_IDS = 300_000
 CHUNK = 1_000_000
 
 _CLASSES: list[np.ndarray] = []
@@ -211,7 +211,7 @@ def sketches(pages: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array(digests, pa.binary()), lists, pa.array(bits, pa.binary())], names=["page", "digest", "bands", "sketch"])
 
-    return _texts(pages, id_col, text_col).mapInArrow(run, "page string, digest binary, bands array<long>, sketch binary")
+    return spread(_texts(pages, id_col, text_col)).mapInArrow(run, "page string, digest binary, bands array<long>, sketch binary")
 
 
 def _compare_buckets(batches, limit: int):
@@ -304,7 +304,8 @@ def verified_pairs(texts: DataFrame, reps: DataFrame, pairs: DataFrame, threshol
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     named = involved.join(reps.select(F.col("rep").alias("id"), F.col("name")), "id").join(links.withColumnRenamed("a", "id"), "id", "left")
     named = cut(named)
-    hint = F.broadcast if named.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else (lambda x: x)
+    few = named.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS and pairs.limit(4 * BROADCAST_IDS + 1).count() <= 4 * BROADCAST_IDS
+    hint = F.broadcast if few else (lambda x: x)
     rows = texts.join(hint(named), texts["page"] == named["name"]).select("id", "to", "text")
 
     def sets(batches):

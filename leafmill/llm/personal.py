@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.boosting import Boosted
+from leafmill.session import spread
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
@@ -345,7 +346,7 @@ def found_lines(df: DataFrame, key_col: str, text_col: str, names: DataFrame, on
     """(rec_key, line_no, kind): the lines of each record that hold at least one item of a kind. Each triple once. With ``one_line`` the whole
     text counts as line 1."""
     shared = df.sparkSession.sparkContext.broadcast(train(name_parts(names)))
-    rows = df.where(F.col(text_col).rlike(r"\S") & F.col(key_col).isNotNull()).select(F.col(key_col).cast("string").alias("k"), F.col(text_col).alias("t"))
+    rows = spread(df.where(F.col(text_col).rlike(r"\S") & F.col(key_col).isNotNull()).select(F.col(key_col).cast("string").alias("k"), F.col(text_col).alias("t")))
 
     def run(batches):
         redactor = shared.value

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.session import cut
+from leafmill.session import cut, spread
 
 MIN_PAGES, MIN_CHARS = 5, 12
 #: Levels of the tree that hold tokens.
@@ -118,7 +118,7 @@ def covering_templates(pages: DataFrame, site: str, page: str, text: str, min_pa
 
 
 def _texts(pages: DataFrame, site: str, page: str, text: str) -> DataFrame:
-    return pages.where(F.col(text).isNotNull() & F.col(page).isNotNull() & F.col(text).rlike(r"\S")).select(F.col(site).alias("s"), F.col(page).alias("p"), F.col(text).alias("t"))
+    return spread(pages.where(F.col(text).isNotNull() & F.col(page).isNotNull() & F.col(text).rlike(r"\S")).select(F.col(site).alias("s"), F.col(page).alias("p"), F.col(text).alias("t")))
 
 
 def repeated_lines(pages: DataFrame, site: str, page: str, text: str, min_pages: int = MIN_PAGES, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.session import cut
+from leafmill.session import cut, spread
 
 K, M = 250, 80
 #: A bucket with more different strings than this is counted by spread windows.
@@ -248,7 +248,7 @@ def shared_spans(docs: DataFrame, id_col: str, text_col: str, k: int = K, m: int
     """(doc, span_start, span_end): maximal runs of characters that lie in a stretch of ``k`` or more also found in another record."""
     texts = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(text_col) >= k))
     texts = texts.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    where = _narrow(texts, k, m)
+    where = _narrow(spread(texts), k, m)
     common = where.groupBy("mini").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y").select("mini")
     parts = where.join(common, "mini").groupBy("doc").agg(F.collect_list(F.struct("mini", "start", "n")).alias("parts"))
     cut_out = texts.join(parts, "doc").select("doc", "text", "parts").mapInArrow(lambda b: _cut_strings(b, k), "mini long, digest binary, packed string, doc long, start int")
