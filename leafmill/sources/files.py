@@ -44,8 +44,8 @@ def resolve_trees(spark: SparkSession, given: str | None, collection: str, prefe
     """The tree files to export: a given file, else the files of a given folder, else those of the default collection, else the preferred file, else
     the newest ``*page_tree*.json`` of the fallback folder. A given path that is neither falls through to the defaults; a given folder without
     files gives none."""
-    is_file = lambda p: _status(spark, p) == "file"
-    if given and (kind := _status(spark, given)):
+    is_file = lambda p: path_kind(spark, p) == "file"
+    if given and (kind := path_kind(spark, given)):
         return [given] if kind == "file" else _ordered(tree_files(spark, given))
     found = _ordered(tree_files(spark, collection))
     if found:
@@ -60,7 +60,7 @@ def _ordered(files: DataFrame) -> list[str]:
     return [r[0] for r in files.orderBy("place").select("path").collect()]
 
 
-def _status(spark: SparkSession, path: str) -> str:
+def path_kind(spark: SparkSession, path: str) -> str:
     """``file``, ``folder`` or the empty text, on any file system that Spark reads."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
