@@ -99,4 +99,23 @@ WITH lines AS (
 SELECT page_id, CAST(line_no AS INTEGER) AS line_no FROM long JOIN hot USING (tree_id, c)
 """
 
-ORACLES = {"p4_found": P4_SQL}
+#: DuckDB: pairs of pages by the sets of their five-token runs, counted through a join on the runs.
+P2_SQL = r"""
+WITH p AS (SELECT DISTINCT page_id, regexp_extract_all(regexp_replace(lower(markdown), '([\x{4E00}-\x{9FFF}])', ' \1 ', 'g'), '[\p{L}\p{N}]+') AS k FROM fetch_attempts WHERE markdown IS NOT NULL AND page_id IS NOT NULL),
+s AS (SELECT DISTINCT page_id, hash(array_to_string(k[i : i + 4], ' ')) AS g FROM (SELECT page_id, k, unnest(range(1, len(k) - 3)) AS i FROM p WHERE len(k) >= 5)),
+n AS (SELECT page_id, count(*) AS n FROM s GROUP BY page_id),
+c AS (SELECT a.page_id AS page_id_a, b.page_id AS page_id_b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.page_id < b.page_id GROUP BY 1, 2)
+SELECT page_id_a, page_id_b FROM c JOIN n x ON x.page_id = page_id_a JOIN n y ON y.page_id = page_id_b WHERE c >= 0.6 * (x.n + y.n - c)
+"""
+
+#: DuckDB: every window of 250 characters by its digest, those of two documents joined into runs.
+P8_SQL = r"""
+WITH t AS (SELECT DISTINCT doc_id, text FROM documents WHERE length(text) >= 250),
+w AS (SELECT doc_id, i, md5_number(substr(text, CAST(i AS BIGINT) + 1, 250)) AS h FROM (SELECT doc_id, text, unnest(range(0, length(text) - 249)) AS i FROM t)),
+s AS (SELECT h FROM w GROUP BY h HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM w JOIN s USING (h)),
+r AS (SELECT doc_id, i, sum(CASE WHEN i <= p + 250 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM m)
+SELECT doc_id, CAST(min(i) AS INTEGER) AS span_start, CAST(max(i) + 250 AS INTEGER) AS span_end FROM r GROUP BY doc_id, k
+"""
+
+ORACLES = {"p2_found": P2_SQL, "p4_found": P4_SQL, "p8_found": P8_SQL}
