@@ -140,6 +140,10 @@ def _squeeze_sql(x: str) -> str:
 
 
 ORACLES = {
+    "attachments_index": rf"""WITH u AS (SELECT page_id, markdown, unnest(list_distinct(regexp_extract_all(markdown, '(?i)https?://[^){Q.WSC}"'']+/pages/viewpageattachments\.action\?pageId=[0-9]+'))) AS url FROM {Q.PAGES}),
+      c AS (SELECT page_id, url, pos, regexp_extract_all(substr(markdown, greatest(pos - 220, 1), least(pos - 1, 220)), '(?i)附件[（(][0-9]+[）)]|\[t[（(][0-9]+[）)]\]|t[（(][0-9]+[）)]{Q.WS}*附件|t附件[（(][0-9]+[）)]') AS m FROM (SELECT *, strpos(markdown, url) AS pos FROM u)),
+      g AS (SELECT page_id, concat('## 附件与文件', chr(10), string_agg(concat('* [附件与文件管理（', CASE WHEN len(m) > 0 THEN concat('共 ', regexp_extract(m[-1], '[0-9]+'), ' 个') ELSE '本页' END, '）](', url, ')'), chr(10) ORDER BY pos), chr(10), chr(10)) AS t FROM c GROUP BY page_id)
+      SELECT page_id, coalesce(t, '') AS attachments_index FROM {Q.PAGES} LEFT JOIN g USING (page_id)""",
     "front_matter": f"""SELECT DISTINCT meta_id, concat('---', chr(10), 'author: ', {_SCALAR.replace('{x}', 'a').replace('{{', '{').replace('}}', '}')}, chr(10), 'last_modified: ', {_SCALAR.replace('{x}', 'm').replace('{{', '{').replace('}}', '}')}, chr(10), '---', chr(10), chr(10), '# ', meta_id) AS document
       FROM (SELECT meta_id, coalesce(author, '') AS a, coalesce(last_modified, '') AS m FROM page_meta)""",
     "cut_head": _OUT + rf"(SELECT page_id, CASE WHEN regexp_matches(markdown, '{_HEAD}') THEN regexp_replace(substr(markdown, strpos(markdown, regexp_extract(markdown, '{_HEAD}')) + length(regexp_extract(markdown, '{_HEAD}'))), '\A\n+', '') ELSE markdown END AS t FROM {Q.PAGES})",

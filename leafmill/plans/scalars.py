@@ -140,6 +140,8 @@ ORACLES = {
     "slug_titles": f"SELECT tree_id, id, {Q.file_name('title')} AS slug FROM {Q.NODES}",
     "folder_segments": f"SELECT tree_id, id, {_SEGMENT} AS segment FROM {Q.NODES}",
     "plain_titles": f"SELECT title, {_PLAIN} AS plain FROM (SELECT DISTINCT title FROM fetch_attempts)",
+    "page_stems": f"""SELECT tree_id, id, concat(tree_id, '/', CASE WHEN {_STRIPPED} <> '' THEN {Q.file_name(_STRIPPED)} WHEN plain <> '' THEN {Q.file_name('plain')} ELSE {_SEGMENT} END, '.md') AS path
+      FROM {Q.NODES} LEFT JOIN (SELECT tree_id, page_id AS id, {_PLAIN} AS plain FROM {Q.FALLBACK}) USING (tree_id, id)""",
     "attachment_names": f"""SELECT doc_id, substr(coalesce(nullif({Q.strip("regexp_replace(coalesce(title, ''), '[<>:" + chr(34) + "/" + chr(92) * 2 + "|?*]', '_', 'g')")}, ''), 'attachment'), 1, 180) AS name,
       substr(coalesce(nullif({Q.strip("regexp_replace(coalesce(substr(text, 1, 300), ''), '[<>:" + chr(34) + "/" + chr(92) * 2 + "|?*]', '_', 'g')")}, ''), 'attachment'), 1, 180) AS from_text FROM documents""",
     "url_file_names": f"""SELECT url, name, concat(substr(md5(url), 1, 8), '_', name) AS collision_name FROM (SELECT url, {_NAME} AS name FROM (SELECT DISTINCT unnest(regexp_extract_all(raw, '(https?://[^)\\s"'']+)', 1)) AS url FROM {_W}))""",

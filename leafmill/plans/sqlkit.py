@@ -43,3 +43,9 @@ WRAPPED = """concat(
   CASE WHEN CAST(page_id AS BIGINT) % 3 < 2 THEN concat(chr(10), 'http://wiki.example.com/download/attachments/', page_id, '/image1.png', chr(10), '  http://wiki.example.com/download/attachments/', page_id, '/notes%20a.pdf  ', chr(10)) ELSE '' END,
   CASE WHEN CAST(page_id AS BIGINT) % 3 = 1 THEN concat('See http://wiki.example.com/pages/viewpage.action?pageId=', page_id, ' and http://wiki.example.com/pages/viewpage.action?pageId=77', chr(10)) ELSE '' END,
   markdown)"""
+
+#: The first successful attempt of each page, or its last error.
+_GOOD = f"regexp_matches(markdown, '[^{WSC}]')"
+FALLBACK = f"""(SELECT page_id, tree_id, coalesce(w.title, 'page_' || page_id) AS title, w.markdown AS markdown, CASE WHEN w IS NULL THEN l ELSE '' END AS error, coalesce(w.strategy_idx, last_idx) AS strategy_idx
+  FROM (SELECT page_id, tree_id, arg_min({{'title': title, 'markdown': markdown, 'strategy_idx': strategy_idx}}, strategy_idx) FILTER ({_GOOD}) AS w, max(strategy_idx) AS last_idx, arg_max(coalesce(error, ''), {{'i': strategy_idx, 'e': coalesce(error, '')}}) AS l
+        FROM fetch_attempts WHERE page_id IS NOT NULL GROUP BY page_id, tree_id))"""

@@ -172,10 +172,7 @@ _NAMED = (
   UNION ALL SELECT s.tree_id, s.par, s.id, s.k, CASE WHEN list_contains(f.used, s.seg) THEN s.seg || '_' || s.id ELSE s.seg END, list_append(f.used, CASE WHEN list_contains(f.used, s.seg) THEN s.seg || '_' || s.id ELSE s.seg END)
   FROM f JOIN s ON s.tree_id = f.tree_id AND s.par = f.par AND s.k = f.k + 1)"""
 )
-_GOOD = f"regexp_matches(markdown, '[^{Q.WSC}]')"
-_FALLBACK = f"""(SELECT page_id, tree_id, coalesce(w.title, 'page_' || page_id) AS title, w.markdown AS markdown, CASE WHEN w IS NULL THEN l ELSE '' END AS error, coalesce(w.strategy_idx, last_idx) AS strategy_idx
-  FROM (SELECT page_id, tree_id, arg_min({{'title': title, 'markdown': markdown, 'strategy_idx': strategy_idx}}, strategy_idx) FILTER ({_GOOD}) AS w, max(strategy_idx) AS last_idx, arg_max(coalesce(error, ''), {{'i': strategy_idx, 'e': coalesce(error, '')}}) AS l
-        FROM fetch_attempts WHERE page_id IS NOT NULL GROUP BY page_id, tree_id))"""
+_FALLBACK = Q.FALLBACK
 _PATHS = ", p AS (SELECT tree_id, id, folder AS path FROM f JOIN t USING (tree_id, id) WHERE depth = 0 UNION ALL SELECT c.tree_id, c.id, p.path || '/' || c.folder FROM p JOIN (SELECT f.*, t.parent_id FROM f JOIN t USING (tree_id, id)) c ON c.tree_id = p.tree_id AND c.parent_id = p.id)"
 _FAILED_PATHS = (
     _PATHS.replace("SELECT tree_id, id, folder AS path FROM f JOIN t USING (tree_id, id) WHERE depth = 0", "SELECT tree_id, id, nm AS path FROM g WHERE depth = 0")
