@@ -118,4 +118,13 @@ r AS (SELECT doc_id, i, sum(CASE WHEN i <= p + 250 THEN 0 ELSE 1 END) OVER (PART
 SELECT doc_id, CAST(min(i) AS INTEGER) AS span_start, CAST(max(i) + 250 AS INTEGER) AS span_end FROM r GROUP BY doc_id, k
 """
 
-ORACLES = {"p2_found": P2_SQL, "p4_found": P4_SQL, "p8_found": P8_SQL}
+#: DuckDB: the pages without the lines of P4_SQL.
+P4_CLEANED_SQL = (
+    "WITH gone AS ("
+    + P4_SQL
+    + r"""), d AS (SELECT DISTINCT tree_id, page_id, markdown FROM fetch_attempts WHERE regexp_matches(markdown, '\S')),
+l AS (SELECT tree_id, page_id, unnest(string_split(markdown, chr(10))) AS l, generate_subscripts(string_split(markdown, chr(10)), 1) AS line_no FROM d)
+SELECT tree_id, page_id, coalesce(string_agg(l.l, chr(10) ORDER BY line_no) FILTER (g.line_no IS NULL), '') AS markdown FROM l LEFT JOIN gone g USING (page_id, line_no) GROUP BY tree_id, page_id"""
+)
+
+ORACLES = {"p2_found": P2_SQL, "p4_found": P4_SQL, "p4_cleaned": P4_CLEANED_SQL, "p8_found": P8_SQL}
