@@ -11,7 +11,7 @@ tools, contents); (4) lines with a site phrase of the rule set (notices, labels,
 heading hides the rest of the page. Code blocks are never searched for phrases.
 
 Defined results: null and blank pages have no lines and the empty text; pages without a title heading have no head region; repeated
-rows of a page are one page; an unclosed code fence ends at the end of the page; without a site address rule 3 takes the host of the page's
+rows of a page are one page; a code block without its end fence ends before its first blank line; without a site address rule 3 takes the host of the page's
 attachment and menu links.
 """
 
@@ -135,7 +135,7 @@ def build(markdown: str, rules: PageRules, site: str | None = None) -> list[Bloc
     title = next((i for i, x in enumerate(lines) if _TITLE.match(x)), None)
     blocks: list[Block] = []
     opened: list[tuple[str, bool]] = []
-    depth, code, over = 0, False, False
+    depth, code_end, over = 0, -1, False
 
     def add(kind: str, number: int, text: str, visible: bool, joins: bool = True) -> None:
         last = blocks[-1] if blocks else None
@@ -153,13 +153,13 @@ def build(markdown: str, rules: PageRules, site: str | None = None) -> list[Bloc
             continue
         if i == title:
             opened.clear()  # end tags that are missing in the head are implied
-        if _FENCE.match(line) and not over:
-            code = not code
-            add("code", i + 1, line, not any(h for _, h in opened), joins=not code)
-            continue
-        if code:
+        if i <= code_end:
             add("code", i + 1, line, not any(h for _, h in opened))
             continue
+        if not over and _FENCE.match(line):
+            code_end = _code_end(lines, i)
+            add("code", i + 1, line, not any(h for _, h in opened), joins=False)
+            continue
         if not line.strip():
             blocks.append(Block("space", depth, True))
             continue
@@ -189,6 +189,16 @@ def build(markdown: str, rules: PageRules, site: str | None = None) -> list[Bloc
     return blocks
 
 
+def _code_end(lines: list[str], start: int) -> int:
+    """The last line of the code block that opens at ``start``. A block whose next fence opens another (it names a language), or that has none, ends
+    before its first blank line."""
+    after = next((k for k in range(start + 1, len(lines)) if _FENCE.match(lines[k])), None)
+    if after is not None and len(lines[after].strip()) == 3:
+        return after
+    blank = next((k for k in range(start + 1, len(lines)) if not lines[k].strip()), len(lines))
+    return min(blank, len(lines) if after is None else after) - 1
+
+
 def hidden_lines(markdown: str | None, rules: PageRules, site: str | None = None) -> list[int]:
     """Numbers of the non-blank lines that aren't the page's own content."""
     if not markdown or not markdown.strip():
