@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from datetime import date, datetime, timedelta, timezone
+from datetime import datetime, timedelta, timezone
 from functools import lru_cache
 from zoneinfo import ZoneInfo
 
@@ -274,8 +274,3 @@ def found_instants(meta: DataFrame, trees: DataFrame) -> DataFrame:
     rows = rows.join(sites, F.col("tree_id") == F.col("t"), "left")
     out = normalise_timestamps(rows, "last_modified", "locale", "tz", "extracted_at")
     return out.where(F.col("epoch_us").isNotNull()).select("meta_id", "epoch_us")
-
-
-def day_start(day: date, tz: str) -> int:
-    """Microseconds of the start of a day in a zone."""
-    return _epoch_us(datetime(day.year, day.month, day.day), _zone(tz))
