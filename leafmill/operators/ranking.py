@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,28 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def distinct_texts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``df`` with one row of each (keys, text), extra columns of one of them. Of files only keys and 128-bit digests travel: the rows that repeat are found by digest and, by
+    their place in the files, all but the first are dropped where they are read. Other frames are deduplicated as they are.
+    """
+    try:
+        placed = df.withColumn("__place", F.struct("_metadata.file_path", F.col("_metadata.row_index").alias("row")))
+        placed.schema
+    except AnalysisException:
+        return df.dropDuplicates([*keys, text])
+    digest = F.unhex(F.md5(F.col(text).cast("binary")))
+    small = placed.select(*keys, digest.alias("__digest"), "__place").groupBy(*keys, "__digest").agg(F.count("*").alias("n"), F.min("__place").alias("__first"))
+    names = {k: f"__k{i}" for i, k in enumerate(keys)}
+    twice = cut(small.where("n > 1").select(*[F.col(k).alias(n) for k, n in names.items()], F.col("__digest").alias("__d"), "__first"))
+    if twice.isEmpty():
+        return df
+    on = digest.eqNullSafe(F.col("__d"))
+    for k, n in names.items():
+        on = on & F.col(k).eqNullSafe(F.col(n))
+    kept = placed.join(bounded_broadcast(twice), on, "left").where(F.col("__first").isNull() | (F.col("__first") == F.col("__place")))
+    return kept.select(*df.columns)
+
+
 def ranked(df: DataFrame, order: list[Column], groups: list[str] | None = None, out: str = "rank", start: int = 1) -> DataFrame:
     """Adds the row's number in ``order``, counted within ``groups`` (or over all rows).
 
