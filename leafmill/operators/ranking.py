@@ -17,6 +17,19 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``left`` joined with ``right``, which has one row a key and in ``n`` how many rows of ``left`` have the key (``right`` is read several times: pass a stored one).
+
+    Keys that hold at least the ``rows``-th part of what is counted are at most ``rows`` many; they are joined by broadcast, so no hot key meets in one task. The others are joined by shuffle,
+    with few rows each.
+    """
+    found, total = right.agg(F.count("*"), F.coalesce(F.sum(n), F.lit(0))).first()
+    if found <= rows:
+        return left.join(F.broadcast(right), keys)
+    bound = total // rows + 1
+    return left.join(F.broadcast(right.where(F.col(n) >= bound)), keys).unionByName(left.join(right.where(F.col(n) < bound), keys))
+
+
 def distinct_texts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """``df`` with one row of each (keys, text), extra columns of one of them. Of files only keys and 128-bit digests travel: the rows that repeat are found by digest and, by
     their place in the files, all but the first are dropped where they are read. Other frames are deduplicated as they are.

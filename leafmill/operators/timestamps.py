@@ -6,8 +6,8 @@ texts ("yesterday", "8 hours ago") parse to a rule in the dictionary; the rule i
 reference time.
 
 Defined results: null, empty, blank and undecodable texts, impossible dates and clock times give no instant (null
-from :func:`normalise_timestamps`, no row from :func:`found_instants`). An unknown zone name is taken as UTC, a null
-locale as ``en_US``. Repeated rows stay repeated in :func:`normalise_timestamps`.
+from :func:`normalise_timestamps`, no row from :func:`found_instants`). A missing zone name is taken as UTC, and so is an unknown one, unless ``strict_zones`` is set: then
+only texts with a zone of their own and counts of weeks and less have an instant (keep one stored dictionary for each setting). A null locale counts as ``en_US``. Two-digit years are 1969-2068. Months and years back are calendar months in the zone. Repeated rows stay repeated in :func:`normalise_timestamps`.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ _WEEKDAY = re.compile(
     r"^(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?|montag|dienstag|mittwoch|donnerstag|freitag|samstag|sonntag|mo|di|mi|do|fr|sa|so|(?:星期|周)[一二三四五六日天])\b[.,]*\s*",
     re.I,
 )
-_CLOCK = r"(?P<h>\d{1,2})(?:[:时](?P<mi>\d{1,2})(?:分)?(?:[:]?(?P<s>\d{1,2})秒?(?:[.,](?P<f>\d+))?)?)"
+_CLOCK = r"(?P<h>\d{1,2})(?:[:时点](?P<mi>\d{1,2})(?:分)?(?:[:]?(?P<s>\d{1,2})秒?(?:[.,](?P<f>\d+))?)?)"
 _HALF = r"(?P<ap>上午|下午|凌晨|早上|中午|晚上)?\s*"
 _TAIL = r"\s*(?P<pm>[ap]\.?m\.?(?![a-z]))?(?:\s*uhr)?\s*(?P<z>z|[+-]\d{2}:?\d{2}|[+-]\d{2}|(?:utc|gmt)[+-]\d{1,2}(?::?\d{2})?|[a-z]{1,5}|[a-z]+(?:/[a-z_+-]+\d*)+)?(?:\s*\[(?P<zn>[^\]]+)\])?$"
 _TIME = rf"(?:(?:\s*,\s*|\s+at\s+|\s+um\s+|\s*t\s*|\s*){_HALF}{_CLOCK}{_TAIL}|\s*)$"
@@ -67,23 +67,35 @@ _DATES = [
 ]
 _COMPACT = re.compile(r"^(\d{4})(\d{2})(\d{2})t?(\d{2})(\d{2})(\d{2})?(?:[.,](\d+))?(z|[+-]\d{2}:?\d{2})?$", re.I)
 _DAY8 = re.compile(r"^(\d{4})(\d{2})(\d{2})$")
+_SHORT_YEARS = [
+    re.compile(rf"^(?P<a>\d{{1,2}})(?P<sep>[-/.])(?P<b>\d{{1,2}})(?P=sep)(?P<y>\d{{2}})(?!\d){_TIME}", re.I),
+    re.compile(rf"^(?P<mon>{_MONTH})\.?\s+(?P<d>\d{{1,2}})(?:st|nd|rd|th)?\s*,?\s+'?(?P<y>\d{{2}})(?![\d:]){_TIME}", re.I),
+    re.compile(rf"^(?P<d>\d{{1,2}})(?:st|nd|rd|th|\.)?\s*(?:of\s+)?(?P<mon>{_MONTH})\.?\s*,?\s+'?(?P<y>\d{{2}})(?![\d:]){_TIME}", re.I),
+]
+_WEEK = re.compile(rf"^(?P<y>\d{{4}})-?w(?P<w>\d{{2}})-?(?P<wd>[1-7])(?!\d){_TIME}", re.I)
+_EPOCH_PART = re.compile(r"^(-?)(\d{9,10})\.(\d+)$")
 _EPOCH = re.compile(r"^-?(?:\d{9,10}|\d{12,13}|\d{15,16}|\d{18,19})$")
 _DAY_WORD = re.compile(
     rf"^(?P<w>昨天|昨日|前天|今天|今日|yesterday|today|gestern|vorgestern|heute)(?:\s*(?:,|at|um)?\s*{_HALF}{_CLOCK}\s*(?P<pm>[ap]\.?m\.?)?(?:\s*uhr)?)?$", re.I
 )
 _AGO = re.compile(
-    r"^(?:vor\s+)?(?P<n>\d+|an?|one|einer?|einem)\s*(?P<u>秒钟?|分钟|个?小时|天|周|seconds?|minutes?|mins?|hours?|days?|weeks?|sekunden?|minuten?|stunden?|tage?n?|wochen?)\s*(?P<x>之?前|ago)?$", re.I
+    r"^(?:vor\s+)?(?P<n>\d+|an?|one|einer?|einem)\s*(?P<u>秒钟?|分钟|个?小时|天|周|个月|年|seconds?|minutes?|mins?|hours?|days?|weeks?|months?|years?|sekunden?|minuten?|stunden?|tage?n?|wochen?|monat(?:en)?|jahr(?:en)?)\s*(?P<x>之?前|ago)?$", re.I
 )
+_LAST = re.compile(r"^(?:last (week|month|year)|letzte[ns]? (woche|monat|jahr)|(上周|上个?月|去年))$", re.I)
 _DAYS_BACK = {"昨天": 1, "昨日": 1, "yesterday": 1, "gestern": 1, "前天": 2, "vorgestern": 2, "今天": 0, "今日": 0, "today": 0, "heute": 0}
-_UNITS = [("秒", 1), ("分", 60), ("小时", 3600), ("个小时", 3600), ("天", 86400), ("周", 604800), ("sec", 1), ("sek", 1), ("min", 60), ("hour", 3600), ("stund", 3600), ("day", 86400), ("tag", 86400), ("week", 604800), ("woche", 604800)]
+_UNITS = [("秒", 1), ("分", 60), ("小时", 3600), ("个小时", 3600), ("天", 86400), ("周", 604800), ("sec", 1), ("sek", 1), ("min", 60), ("hour", 3600), ("stund", 3600), ("day", 86400), ("tag", 86400), ("week", 604800), ("woche", 604800)]
+_MONTH_UNITS = [("个月", 1), ("month", 1), ("monat", 1), ("年", 12), ("year", 12), ("jahr", 12)]
+#: Amounts beyond these can't lead to a date.
+MOST_MONTHS, MOST_US = 24_000, 1 << 60
 
 
 @lru_cache(maxsize=1024)
 def _zone(name: str | None):
+    """UTC for a missing name, None for an unknown one."""
     try:
         return ZoneInfo(name) if name else timezone.utc
     except Exception:
-        return timezone.utc
+        return None
 
 
 def _offset(text: str | None):
@@ -111,6 +123,8 @@ def _offset(text: str | None):
 
 def _epoch_us(naive: datetime, zone) -> int:
     """fold=0: the first of a doubled clock time; a skipped one moves on by the gap."""
+    if zone is None:
+        raise ValueError("unknown zone")
     delta = naive.replace(tzinfo=zone, fold=0).astimezone(timezone.utc) - EPOCH
     return (delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds
 
@@ -131,23 +145,29 @@ def _clock(g: dict) -> tuple[int, int, int, int] | None:
     return (h, mi, s, us) if h < 24 and mi < 60 and s < 60 else None
 
 
-def parse_timestamp(raw: str | None, locale: str | None, tz: str | None) -> tuple[str, int | None, int | None]:
+def parse_timestamp(raw: str | None, locale: str | None, tz: str | None, strict_zones: bool = False) -> tuple[str, int | None, int | None]:
     """(kind, epoch_us, amount_us). Kinds: ``instant`` (epoch_us set), ``ago`` (amount_us back from the reference time),
-    ``day`` (epoch_us = days back, amount_us = clock time on that day in the zone; ``day_utc`` where the zone is unknown), ``none``."""
+    ``day`` (epoch_us = days back, amount_us = clock time on that day in the zone; ``day_utc`` where the zone is missing), ``months`` (epoch_us = months back
+    in the zone; ``months_utc``), ``none``."""
     none = ("none", None, None)
     if raw is None:
         return none
     text = " ".join(unicodedata.normalize("NFKC", raw).split()).strip()
     text = text.replace("−", "-").replace("–", "-")
-    if not text or len(text) > 100:
+    if not text:
         return none
     text = _LEAD.sub("", text)
     home = _zone(tz)
+    if home is None and not strict_zones:
+        home, tz = timezone.utc, None
     try:
         if _EPOCH.match(text):
             value = int(text)
             size = len(text.lstrip("-"))
             return "instant", value * 1_000_000 if size <= 10 else value * 1000 if size <= 13 else value if size <= 16 else value // 1000, None
+        if m := _EPOCH_PART.match(text):
+            value = int(m[2]) * 1_000_000 + int((m[3] + "000000")[:6])
+            return "instant", -value if m[1] else value, None
         if m := _COMPACT.match(text):
             zone = _offset(m[8]) or home
             us = int(((m[7] or "") + "000000")[:6])
@@ -156,18 +176,33 @@ def parse_timestamp(raw: str | None, locale: str | None, tz: str | None) -> tupl
             return "instant", _epoch_us(datetime(int(m[1]), int(m[2]), int(m[3])), home), None
         if m := _DAY_WORD.match(text):
             at = _clock(m.groupdict()) if m["h"] else (0, 0, 0, 0)
-            kind = "day" if home is not timezone.utc or tz in ("UTC", "GMT") else "day_utc"
-            return (kind, _DAYS_BACK[m["w"].lower()], ((at[0] * 60 + at[1]) * 60 + at[2]) * 1_000_000 + at[3]) if at else none
+            if home is None:
+                return none
+            return (_by_zone("day", tz), _DAYS_BACK[m["w"].lower()], ((at[0] * 60 + at[1]) * 60 + at[2]) * 1_000_000 + at[3]) if at else none
         if (m := _AGO.match(text)) and (m["x"] or text.lower().startswith("vor ")):
             n = int(m["n"]) if m["n"].isdigit() else 1
-            unit = next(s for u, s in _UNITS if m["u"].lower().lstrip("个").startswith(u))
-            return "ago", None, n * unit * 1_000_000
+            unit = m["u"].lower()
+            if months := next((k for u, k in _MONTH_UNITS if unit.startswith(u)), 0):
+                return _months_back(n * months, home, tz)
+            amount = n * 1_000_000 * next(s for u, s in _UNITS if unit.lstrip("个").startswith(u))
+            return ("ago", None, amount) if amount < MOST_US else none
+        if m := _LAST.match(text):
+            word = (m[1] or m[2] or m[3]).lower()
+            if word in ("week", "woche", "上周"):
+                return "ago", None, 7 * DAY_US
+            return _months_back(12 if word in ("year", "jahr", "去年") else 1, home, tz)
         text = _WEEKDAY.sub("", text)
-        for pattern in _DATES:
+        for pattern in (*_DATES, *_SHORT_YEARS, _WEEK):
             if not (m := pattern.match(text)):
                 continue
             g = m.groupdict()
-            if g.get("mon"):
+            year = int(g["y"])
+            if len(g["y"]) == 2:  # 69-99 are of the last century
+                year += 1900 if year > 68 else 2000
+            if g.get("wd"):
+                day_of = datetime.fromisocalendar(year, int(g["w"]), int(g["wd"]))
+                year, month, day = day_of.year, day_of.month, day_of.day
+            elif g.get("mon"):
                 month, day = MONTHS[g["mon"].lower()], int(g["d"])
             elif g.get("m"):
                 month, day = int(g["m"]), int(g["d"])
@@ -180,16 +215,24 @@ def parse_timestamp(raw: str | None, locale: str | None, tz: str | None) -> tupl
             zone = _offset(g.get("z")) or _offset(g.get("zn"))
             if zone is None and (g.get("z") or g.get("zn")):
                 return none
-            return "instant", _epoch_us(datetime(int(g["y"]), month, day, *at), zone or home), None
+            return "instant", _epoch_us(datetime(year, month, day, *at), zone or home), None
     except (ValueError, OverflowError):
         return none
     return none
 
 
-def _parse_batches(batches):
+def _by_zone(kind: str, tz: str | None) -> str:
+    return kind if tz else kind + "_utc"
+
+
+def _months_back(months: int, home, tz: str | None) -> tuple[str, int | None, int | None]:
+    return (_by_zone("months", tz), months, None) if home is not None and months <= MOST_MONTHS else ("none", None, None)
+
+
+def _parse_batches(batches, strict_zones: bool):
     for pdf in batches:
         null = lambda v: None if v is None or v != v else v
-        out = [parse_timestamp(null(r), null(lo), null(z)) for r, lo, z in zip(pdf["raw"], pdf["locale"], pdf["tz"])]
+        out = [parse_timestamp(null(r), null(lo), null(z), strict_zones) for r, lo, z in zip(pdf["raw"], pdf["locale"], pdf["tz"])]
         yield pd.DataFrame(
             {
                 "raw": pdf["raw"], "locale": pdf["locale"], "tz": pdf["tz"], "kind": [k for k, _, _ in out],
@@ -198,25 +241,26 @@ def _parse_batches(batches):
         )
 
 
-def build_dictionary(keys: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def build_dictionary(keys: DataFrame, stored: DataFrame | None = None, strict_zones: bool = False) -> DataFrame:
     """Parse the distinct (raw, locale, tz) of ``keys`` once; entries that ``stored`` already has are not parsed again.
 
-    Returns only the new entries; append them to the stored table to extend it incrementally.
+    Returns only the new entries; add them to the stored table to extend it incrementally.
     """
     fresh = keys.select("raw", "locale", "tz")
     if stored is not None:
         same = [F.col(f"k.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("raw", "locale", "tz")]
         fresh = fresh.alias("k").join(stored.alias("s"), same, "left_anti")
-    return fresh.mapInPandas(_parse_batches, DICTIONARY_SCHEMA)
+    return fresh.mapInPandas(lambda b: _parse_batches(b, strict_zones), DICTIONARY_SCHEMA)
 
 
 def normalise_timestamps(
-    df: DataFrame, text_col: str, locale_col: str, tz_col: str, reference_col: str, dictionary_path: str | None = None, out_col: str = "epoch_us"
+    df: DataFrame, text_col: str, locale_col: str, tz_col: str, reference_col: str, dictionary_path: str | None = None, out_col: str = "epoch_us", strict_zones: bool = False
 ) -> DataFrame:
     """``df`` with ``out_col``: the UTC instant (microseconds) of each text, null where it denotes none.
 
     Extra columns pass through unchanged; an existing ``out_col`` is replaced. With ``dictionary_path`` the dictionary is read from
-    and appended to that Parquet table (on shared storage), so later runs parse only texts not seen before.
+    that Parquet table (on shared storage) and extended, so later runs parse only texts not seen before. Every run writes its new entries to a folder named by
+    their keys: a repeated run replaces its own, and entries that runs at the same time both wrote count once.
     """
     spark = df.sparkSession
     key = F.struct(F.col(text_col).alias("raw"), F.col(locale_col).alias("locale"), F.col(tz_col).alias("tz"))
@@ -226,12 +270,11 @@ def normalise_timestamps(
     counts = rows.where(F.col("__key.raw").isNotNull()).groupBy("__key").agg(F.count("*").alias("n"))
     counts = cut(counts.select("__key.raw", "__key.locale", "__key.tz", "n"))
     stored = _stored(spark, dictionary_path)
-    fresh = build_dictionary(counts, stored)
+    entries = cut(build_dictionary(counts, stored, strict_zones))
     if dictionary_path:
-        fresh.write.mode("append").parquet(dictionary_path)
-        entries = spark.read.schema(DICTIONARY_SCHEMA).parquet(dictionary_path)
-    else:
-        entries = cut(fresh)
+        _store(entries, dictionary_path)
+    if stored is not None:
+        entries = entries.unionByName(stored)
     total = counts.agg(F.sum("n")).first()[0] or 0
     heavy = counts.where((F.col("n") >= 1000) & (F.col("n") * HEAVY > total)).select(F.struct("raw", "locale", "tz").alias("__hot"))
     entries = entries.where(F.col("kind") != "none").select(F.struct("raw", "locale", "tz").alias("__id"), "kind", F.col("epoch_us").alias("__e"), "amount_us")
@@ -242,14 +285,17 @@ def normalise_timestamps(
     hot_entries = entries.join(F.broadcast(heavy), same("__id", "__hot"), "left_semi")
     hot = marked.where(F.col("__hot").isNotNull()).join(F.broadcast(hot_entries), same("__key", "__id"), "left")
     rest = marked.where(F.col("__hot").isNull()).join(entries, same("__key", "__id"), "left")
-    zone = F.when(F.col("kind") == "day", F.col("__key.tz")).otherwise(F.lit("UTC"))
+    zone = F.when(F.col("kind").isin("day", "months"), F.col("__key.tz")).otherwise(F.lit("UTC"))
     ref_us = F.unix_micros(F.col("__ref"))
-    local_us = F.unix_micros(F.from_utc_timestamp(F.col("__ref"), zone))
+    local = F.from_utc_timestamp(F.col("__ref"), zone)
+    local_us = F.unix_micros(local)
+    earlier = local - F.make_ym_interval(F.lit(0), F.when(F.col("kind").isin("months", "months_utc"), F.col("__e")).cast("int"))
     day_us = (F.floor(local_us / DAY_US) - F.col("__e")) * DAY_US
     clock = F.timestamp_micros(day_us + F.col("amount_us"))
     value = (
         F.when(F.col("kind") == "instant", F.col("__e"))
         .when(F.col("kind") == "ago", ref_us - F.col("amount_us"))
+        .when(F.col("kind").isin("months", "months_utc"), F.unix_micros(F.to_utc_timestamp(earlier, zone)))
         .when(F.col("kind").isin("day", "day_utc"), F.unix_micros(F.to_utc_timestamp(clock, zone)))
     )
     return hot.unionByName(rest).select(*[F.col(f"__row.`{c}`").alias(c) for c in kept], value.alias(out_col))
@@ -261,9 +307,16 @@ def _stored(spark: SparkSession, path: str | None) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
     try:
-        return cut(spark.read.schema(DICTIONARY_SCHEMA).parquet(path))
+        found = spark.read.schema(DICTIONARY_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException:
         return None
+    return cut(found.dropDuplicates(["raw", "locale", "tz"]))
+
+
+def _store(entries: DataFrame, path: str) -> None:
+    mark = entries.agg(F.count("*").alias("n"), F.sum(F.xxhash64("raw", "locale", "tz").cast("decimal(38,0)")).alias("h")).first()
+    if mark["n"]:
+        entries.write.mode("overwrite").parquet(f"{path}/keys-{mark['n']}-{int(mark['h']) % (1 << 64):016x}")
 
 
 def found_instants(meta: DataFrame, trees: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
-from leafmill.operators.timestamps import found_instants, normalise_timestamps, parse_timestamp
+from leafmill.operators.timestamps import build_dictionary, found_instants, normalise_timestamps, parse_timestamp
 
 US = 1_000_000
 
@@ -66,7 +67,7 @@ def test_empty_table_and_incremental_dictionary(spark, tmp_path):
     path = str(tmp_path / "dictionary")
     for _ in range(2):
         assert normalise_timestamps(df, "raw", "locale", "tz", "at", path).first().epoch_us == at(2024, 1, 2)
-    assert spark.read.parquet(path).count() == 1
+    assert spark.read.option("recursiveFileLookup", "true").parquet(path).count() == 1
 
 
 def test_hot_text(spark):
@@ -75,3 +76,32 @@ def test_hot_text(spark):
     got = found_instants(df, trees)
     assert got.count() == 5000
     assert got.where(f"epoch_us = {at(2024, 5, 5)}").count() == 5000 - len(range(0, 5000, 3))
+
+
+def test_longer_and_rarer_forms(spark):
+    cases = [
+        ("1 Mar 24", "2024-03-01 00:00:00"), ("2024-W10-5", "2024-03-08 00:00:00"), ("1709287200.5", "2024-03-01 10:00:00.5"), ("2024/3/1 下午3点20分", "2024-03-01 15:20:00"), ("01.03.24 10:00", "2024-03-01 10:00:00"),
+        ("2024-03-01T10:00:00Z [" + "x" * 300 + "]", "2024-03-01 10:00:00"), ("3 months ago", "2023-12-31 12:00:00"), ("vor 2 Jahren", "2022-03-31 12:00:00"), ("last week", "2024-03-24 12:00:00"), ("上个月", "2024-02-29 12:00:00"),
+        ("2024-W60-5", None), ("99999999999999999 hours ago", None), ("99999999 years ago", None), ("31 Feb 24", None),
+    ]
+    df = spark.createDataFrame([(t, "en_US", "UTC") for t, _ in cases], "t string, l string, z string").withColumn("r", F.lit("2024-03-31 12:00:00").cast("timestamp"))
+    got = {r.t: r.at for r in normalise_timestamps(df, "t", "l", "z", "r").select("t", F.timestamp_micros("epoch_us").cast("string").alias("at")).collect()}
+    assert got == dict(cases)
+
+
+def test_months_back_follow_the_zone_and_unknown_zones_give_no_instant(spark):
+    rows = [("1 month ago", "Europe/Berlin"), ("1 month ago", "Mars/Base"), ("2024-03-01 10:00", "Mars/Base"), ("2024-03-01 10:00Z", "Mars/Base"), ("2024-03-01 10:00", None), ("2 hours ago", "Mars/Base")]
+    df = spark.createDataFrame([(t, "en_US", z) for t, z in rows], "t string, l string, z string").withColumn("r", F.lit("2024-04-15 10:00:00").cast("timestamp"))
+    got = {(r.t, r.z): r.at for r in normalise_timestamps(df, "t", "l", "z", "r", strict_zones=True).select("t", "z", F.timestamp_micros("epoch_us").cast("string").alias("at")).collect()}
+    assert [got[k] for k in rows] == ["2024-03-15 11:00:00", None, None, "2024-03-01 10:00:00", "2024-03-01 10:00:00", "2024-04-15 08:00:00"]
+
+
+def test_stored_dictionary_survives_repeated_and_overlapping_runs(spark, tmp_path):
+    path = str(tmp_path / "dictionary")
+    make = lambda texts: spark.createDataFrame([(i, t, "en_US", "UTC") for i, t in enumerate(texts)], "i int, t string, l string, z string").withColumn("r", F.current_timestamp())
+    run = lambda texts: sorted((r.i, r.epoch_us) for r in normalise_timestamps(make(texts), "t", "l", "z", "r", path).collect())
+    first = run(["2024-03-01", "2024-03-02"])
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(path).count()
+    assert run(["2024-03-01", "2024-03-02"]) == first and spark.read.option("recursiveFileLookup", "true").parquet(path).count() == stored == 2
+    build_dictionary(make(["2024-03-01"]).selectExpr("t raw", "l locale", "z tz")).write.parquet(f"{path}/keys-another-run")
+    assert run(["2024-03-01", "2024-03-02"]) == first and len(run(["2024-03-02", "2024-03-03", None])) == 3
