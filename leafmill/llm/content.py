@@ -1,18 +1,25 @@
 """Main content of web pages kept as Markdown.
 
-Method: layout-aware rendering. A tree builder turns the page's lines into blocks (headings with implied sections, lists, tables, fenced
-code, paragraphs, frame markup with implied end tags), visibility rules hide the blocks of the page frame, and the renderer emits all
-visible text with block spacing, list markers and aligned table cells.
-
-Visibility rules, in order: (1) everything before the page's title heading belongs to the frame; (2) frame markup (``div`` and the
-like, comments, anchors) is hidden, elements with ``hidden`` or ``display:none`` with all they hold, a missing end tag being implied at the
-next title or the end; (3) lines of links only are hidden if they lead to anchors of the page or into the site itself (menus, sidebars,
-tools, contents); (4) lines with a site phrase of the rule set (notices, labels, footers, bylines) are hidden; (5) a comments
-heading hides the rest of the page. Code blocks are never searched for phrases.
-
-Defined results: null and blank pages have no lines and the empty text; pages without a title heading have no head region; repeated
-rows of a page are one page; a code block without its end fence ends before its first blank line; without a site address rule 3 takes the host of the page's
-attachment and menu links.
+Method: layout-aware rendering. A tree builder turns the page's lines into a tree: frame elements with implied end tags, sections with implied
+ends at the next heading of their level, and in them the blocks (headings, lists, tables, fenced code, paragraphs). Visibility rules hide the nodes of the
+page frame, and the renderer emits all visible text with block spacing, list markers and aligned table cells.
+
+Visibility rules, none of which knows a site's sentences:
+
+1. What stands before the page's title heading is frame.
+2. Frame markup is hidden, and elements with ``hidden`` or ``display:none`` with all they hold; a missing end tag is implied at the title or the end.
+3. Lines of links only are hidden if they lead to anchors of the page or into the site itself (menus, sidebars, tools, contents).
+4. A group of lines (between blank lines) is hidden if all its lines recur: they stand on at least ``MIN_PAGES`` different pages of the site. Digit runs, case and
+   white space don't count; copies of a page are one page, by the least hash of their longer lines, and a line whose pages are mostly copies doesn't recur.
+   Headings, table rows and code never count as recurring by themselves.
+5. A heading with links of the frame (rule 3) right behind it is hidden if it recurs in that place and doesn't recur in front of content; if it recurs in
+   neither, it is hidden if all of its section is. A comments heading hides the rest of the page.
+6. In the closing run of the page (groups with only hidden groups behind them) label lines (``key: word, word``) whose key recurs are hidden, and lines that
+   open with a general cue of page footers (``CUES``, also the optional ``phrases``); likewise in the opening run of a page without a title.
+
+Defined results: null and blank pages have no lines and the empty text; pages without a title heading have no head region; repeated rows of a page are one
+page; a null site is a site of its own; a code block without its end fence ends before its first blank line; without a site address rule 3 takes the host of the
+page's attachment and menu links.
 """
 
 from __future__ import annotations
@@ -24,31 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.llm.repeats import MIN_PAGES, compared_lines, known_templates, line_digest
+from leafmill.operators.ranking import bounded_broadcast, distinct_texts
 from leafmill.session import spread
 
-#: Site phrases by language, searched in lines with folded white space and in lower case. Data, replaceable by ``phrases=``.
-PHRASES = {
-    "zh": [
-        r"^免责声明[:：]", r"^阅读约需 ?\d+ ?分钟", r"^扫码关注", r"机器人于 ?[\d\-/.]+ ?自动同步", r"^如果觉得有用", r"^本页内容仅限.*(?:转发|许可)", r"文档管理办法第 ?\S+ ?条适用于",
-        r"^本站使用 ?cookie", r"^🍪", r"会在您的浏览器中保存", r"^同意并关闭", r"^意见反馈", r"^返回顶部", r"^内容工具 ?[:：]", r"^版权所有", r"保留一切权利", r"文档引擎.*驱动", r"^无标签$",
-        r"^写评论", r"^标签 ?[:：]", r"^最近浏览过的", r"^大家还在看", r"^重排页面", r"^相关页面推荐", r"^(?:#+ )?页面树结构", r"^[«‹<]? ?(?:上|下)一(?:篇|页) ?[:：]", r"^【.*】导航", r"^.{1,40}首页 \| ", r"^首页 [>/»] ",
-        r"^\[?t?附件 ?[(（]\d+[)）]", r"^[*+-]? ?由 ?\[.*创建", r"创建, ?最后修改于", r"^(?:本页内容|目录)$",
-    ],
-    "en": [
-        r"^powered by .{1,60} \d", r"all rights reserved", r"pages are for guidance only", r"^the records policy of .* covers this whole", r"^was this page helpful", r"^content tools ?:", r"^\d+ min read\b",
-        r"^synced automatically on", r"^found this useful", r"^back to top", r"^subscribe to the .* digest", r"^no labels\b", r"^labels ?:", r"^internal to .*do not forward", r"^recently viewed", r"^write a comment",
-        r"^you may also like", r"^related reading", r"^your privacy on", r"^dismiss this message", r"^we use cookies", r"stores small files in your browser", r"^(?:#+ )?(?:on this page|contents)$", r"^(?:#+ )?in this section of",
-        r"^\d+ watchers?\b", r"^☰", r"^[«‹] ?prev", r"^home [>/»|] ", r"\| sign in$", r"^\[attachments \(\d+\)\]", r"^by .{3,60} \| .{4,20} \| /", r" · updated .{4,20} · \w+$", r"^[^»]{2,60} » [^»]{2,60} » all pages",
-    ],
-    "de": [
-        r"^war diese seite hilfreich", r"^automatisch übernommen am", r"^keine schlagwörter", r"^schlagwörter ?:", r"^für diesen bereich gilt die dokumentenordnung", r"alle rechte vorbehalten", r"^lesedauer ?:", r"^nur für den internen gebrauch",
-        r"^kommentar hinzufügen", r"^gefällt ihnen der beitrag", r"^alle angaben in .* ohne gewähr", r"^zurück zum seitenanfang", r"^erstellt mit .{1,60} \d", r"^zuletzt angesehene", r"^(?:#+ )?weitere seiten in diesem", r"^das könnte sie auch",
-        r"^diese website verwendet cookies", r"^hinweis schließen", r"^datenschutz ist uns wichtig", r"speichert technisch notwendige cookies", r"^\d+ beobachter\b", r"^menü ☰", r"^start(?:seite)? [>/»|] ", r"^\[anhänge \(\d+\)\]",
-        r"^(?:#+ )?(?:auf dieser seite|inhalt)$", r"^[«‹] ?zurück ?:", r"^von .{3,60} angelegt, zuletzt geändert", r"^[^»]{2,60} » [^»]{2,60} » übersicht",
-    ],
-}
 #: Headings that open the comments, which end the page's content.
 COMMENTS = [r"^(?:#+ )?评论$", r"^(?:#+ )?全部评论 ?[(（]\d+[)）]", r"^(?:#+ )?comments$", r"^(?:#+ )?\d+ comments?$", r"^(?:#+ )?kommentare$", r"^(?:#+ )?\d+ kommentare?$"]
+#: General openings of footer lines by language, looked for in the opening and closing runs only.
+CUES = {
+    "any": [r"©", r"\(c\) ?\d{4}", r"🍪"],
+    "en": [r"copyright\b", r"all rights reserved", r"privacy\b", r"terms of\b", r"imprint\b", r"(?:this|our) (?:web)?site (?:uses|stores)\b", r"we use cookies", r"share (?:this|on)\b", r"subscribe\b", r"follow us\b", r"back to top", r"powered by\b", r"sign in\b", r"log ?in\b", r"was this page helpful"],
+    "de": [r"impressum\b", r"datenschutz", r"agb\b", r"diese (?:web)?seite (?:verwendet|nutzt|speichert)\b", r"alle rechte vorbehalten", r"teilen\b", r"nach oben\b", r"newsletter\b", r"anmelden\b", r"kontakt$"],
+    "zh": [r"版权所有", r"隐私政策", r"使用条款", r"本站使用", r"分享到", r"返回顶部", r"订阅", r"登录$"],
+}
 
 _TITLE = re.compile(r"^\s*# +\S")
 _FENCE = re.compile(r"^\s*(?:```|~~~)")
@@ -64,43 +59,28 @@ _LINK = re.compile(r"\[[^\]\[]*\]\(([^()\s]*)\)")
 _BETWEEN = re.compile(r"^[\s*+\-·|,/→←«»‹›<>:：•]*(?:\d+[.)]\s*)?$")
 _NAV_WORDS = re.compile(r"(?:zurück|weiter|prev(?:ious)?|next|上一[篇页]|下一[篇页]|back|older|newer|älter|neuer)\s*[:：]?", re.I)
 _SITE = re.compile(r"\((https?://[^/()\s]+/[^/()\s]+)/(?:pages/viewpageattachments|spaces|browsepeople|calendars|shortcuts|people|start|keys|logout)", re.I)
+_LABELS = re.compile(r"^([^:：\d]{2,30})[:：] ?[^\s,，、.。:：]+(?:[,，、] ?[^\s,，、.。:：]+)*$")
+_WORDY = re.compile(r"\w")
+#: Lines of at least this many characters take part in a page's signature.
+SIGNATURE_CHARS = 40
 
 
 class PageRules:
-    """The compiled visibility rules of a phrase set."""
-
-    def __init__(self, phrases: dict[str, list[str]] | None = None, comments: list[str] | None = None):
-        every = [p for group in (phrases or PHRASES).values() for p in group]
-        start = [p[1:] for p in every if p.startswith("^")]
-        anywhere = [p for p in every if not p.startswith("^")]
-        self.at_start = re.compile("(?:" + "|".join(f"(?:{p})" for p in start) + ")")
-        self.anywhere = re.compile("|".join(f"(?:{p})" for p in anywhere))
+    """The compiled cues: comments headings, footer openings and optional phrases of the user's own (patterns by language)."""
+
+    def __init__(self, phrases: dict[str, list[str]] | None = None, comments: list[str] | None = None, cues: dict[str, list[str]] | None = None):
+        every = [p.removeprefix("^") for group in [*(CUES if cues is None else cues).values(), *(phrases or {}).values()] for p in group]
+        self.cues = re.compile("|".join(f"(?:{p})" for p in every)) if every else None
         self.comments = re.compile("|".join(comments or COMMENTS))
-        self.known: dict[str, str] = {}
-
-    def kind(self, line: str) -> str:
-        """``frame``, ``notice``, ``comments`` or the empty string, for a line outside code."""
-        found = self.known.get(line)
-        if found is None:
-            found = self._kind(line)
-            if len(line) < 200:
-                if len(self.known) > 50_000:
-                    self.known.clear()
-                self.known[line] = found
-        return found
-
-    def _kind(self, line: str) -> str:
-        s = " ".join(line.split()).lower()
-        if s.startswith("<") and _FRAME.match(s):
-            return "frame"
-        if len(s) > 240:
-            return ""
-        if self.comments.match(s):
-            return "comments"
-        bare = s.lstrip("#").lstrip() if s.startswith("#") else s
-        if self.at_start.match(bare) or self.at_start.match(s) or self.anywhere.search(s):
-            return "notice"
-        return ""
+
+    def is_frame(self, line: str) -> bool:
+        return line.lstrip().startswith("<") and bool(_FRAME.match(line))
+
+    def is_comments(self, folded: str) -> bool:
+        return bool(self.comments.match(folded))
+
+    def is_cue(self, folded: str) -> bool:
+        return bool(self.cues and self.cues.match(folded.lstrip("#>*+- ").lstrip()))
 
 
 def _link_line(line: str, site: str | None) -> bool:
@@ -116,77 +96,103 @@ def _link_line(line: str, site: str | None) -> bool:
     return all(t.startswith("#") or (site is not None and t.lower().startswith(site)) for t in targets)
 
 
-class Block:
-    """A block of the page's tree: kind, lines (number, text) and whether it is visible."""
+class Node:
+    """A node of the page's tree: the page, a section, an element, or a block with lines (number, text).
+
+    ``group`` numbers the stretches between blank lines; ``visible`` is None until a rule decides.
+    """
+
+    __slots__ = ("kind", "level", "hidden", "lines", "children", "group", "visible")
+
+    def __init__(self, kind: str, level: int = 0, hidden: bool = False, group: int = 0):
+        self.kind, self.level, self.hidden, self.group, self.visible = kind, level, hidden, group, None
+        self.lines: list[tuple[int, str]] = []
+        self.children: list[Node] = []
+
+    def blocks(self):
+        stack = [self]
+        while stack:
+            node = stack.pop()
+            if node.lines:
+                yield node
+            stack.extend(reversed(node.children))
 
-    __slots__ = ("kind", "lines", "visible", "depth")
 
-    def __init__(self, kind: str, depth: int, visible: bool):
-        self.kind, self.depth, self.visible, self.lines = kind, depth, visible, []
+def _site_prefix(markdown: str, site: str | None) -> str | None:
+    if site is None and (m := _SITE.search(markdown)):
+        site = m[1]
+    return site.rstrip("/").lower() + "/" if site else None
 
 
-def build(markdown: str, rules: PageRules, site: str | None = None) -> list[Block]:
-    """The page's blocks in order. Lists, tables, code and paragraphs are one block each; a block never mixes visible and hidden lines."""
+def build_tree(markdown: str, folded: list[str], rules: PageRules, site: str | None = None) -> Node:
+    """The page's tree. Block kinds: head, frame, comment, link, heading, table, list, code, text; the rules that need one page only are applied.
+    ``folded`` are the lines in compared form."""
     lines = markdown.split("\n")
-    if site is None:
-        m = _SITE.search(markdown)
-        site = m[1] if m else None
-    site = site.rstrip("/").lower() + "/" if site else None
-    title = next((i for i, x in enumerate(lines) if _TITLE.match(x)), None)
-    blocks: list[Block] = []
-    opened: list[tuple[str, bool]] = []
-    depth, code_end, over = 0, -1, False
-
-    def add(kind: str, number: int, text: str, visible: bool, joins: bool = True) -> None:
-        last = blocks[-1] if blocks else None
-        if last is None or not joins or last.kind != kind or last.visible != visible:
-            last = Block(kind, depth, visible)
-            blocks.append(last)
+    prefix = _site_prefix(markdown, site)
+    title = next((i for i, x in enumerate(folded) if x.startswith("# ") and _TITLE.match(lines[i])), None)
+    root = Node("page")
+    open_nodes = [root]
+    group, code_end, over = 0, -1, False
+
+    def add(kind: str, number: int, text: str, joins: bool = True, visible: bool | None = None) -> None:
+        parent = open_nodes[-1]
+        last = parent.children[-1] if parent.children else None
+        if last is None or not joins or last.kind != kind or last.group != group:
+            last = Node(kind, group=group)
+            last.visible = False if len(open_nodes) > 1 and any(n.hidden for n in open_nodes) else visible
+            parent.children.append(last)
         last.lines.append((number, text))
 
     for i, line in enumerate(lines):
+        if i <= code_end:
+            add("code", i + 1, line, visible=True)
+            continue
+        bare = line.strip()
+        if not bare:
+            group += 1
+            continue
         if title is not None and i < title:
-            if line.strip():
-                add("head", i + 1, line, False)
-            else:
-                blocks.append(Block("space", depth, False))
+            add("head", i + 1, line, visible=False)
             continue
         if i == title:
-            opened.clear()  # end tags that are missing in the head are implied
-        if i <= code_end:
-            add("code", i + 1, line, not any(h for _, h in opened))
-            continue
-        if not over and _FENCE.match(line):
+            del open_nodes[1:]  # end tags that are missing in the head are implied
+        first = bare[0]
+        if first in "`~" and not over and _FENCE.match(line):
             code_end = _code_end(lines, i)
-            add("code", i + 1, line, not any(h for _, h in opened), joins=False)
+            add("code", i + 1, line, joins=False, visible=True)
             continue
-        if not line.strip():
-            blocks.append(Block("space", depth, True))
-            continue
-        kind = rules.kind(line)
-        if kind == "frame":
+        if first == "<" and rules.is_frame(line):
             for tag, rest in _OPEN.findall(line):
-                opened.append((tag.lower(), bool(_HIDDEN.search(rest))))
+                node = Node(tag.lower(), level=-1, hidden=bool(_HIDDEN.search(rest)))
+                open_nodes[-1].children.append(node)
+                open_nodes.append(node)
+            add("frame", i + 1, line, visible=False)
             for tag in _CLOSE.findall(line):
-                while opened:
-                    name, _ = opened.pop()
-                    if name == tag.lower():
-                        break
-            add("frame", i + 1, line, False)
+                at = next((k for k in range(len(open_nodes) - 1, 0, -1) if open_nodes[k].kind == tag.lower()), None)
+                if at is not None:
+                    del open_nodes[at:]  # sections and elements that are open in it end with it
             continue
-        if kind == "comments":
+        if not over and rules.is_comments(folded[i]):
             over = True
-        visible = not over and not kind and not any(h for _, h in opened) and not _link_line(line, site)
-        if m := _HEADING.match(line):
-            depth = len(m[1])
-            add("heading", i + 1, line, visible, joins=False)
-        elif _TABLE.match(line):
-            add("table", i + 1, line, visible)
-        elif _ITEM.match(line):
-            add("list", i + 1, line, visible)
+        if over:
+            add("comment", i + 1, line, visible=False)
+        elif first == "#" and (m := _HEADING.match(line)):
+            level = len(m[1])
+            while open_nodes[-1].kind == "section" and open_nodes[-1].level >= level:
+                open_nodes.pop()
+            section = Node("section", level)
+            open_nodes[-1].children.append(section)
+            open_nodes.append(section)
+            add("heading", i + 1, line, joins=False, visible=True if i == title else None)
+        elif "](" in line and _link_line(line, prefix):
+            add("link", i + 1, line, visible=False)
+        elif first == "|" and bare[-1] == "|" and len(bare) > 1:
+            add("table", i + 1, line)
+        elif (first in "-*+" or first.isdigit()) and _ITEM.match(line):
+            add("list", i + 1, line)
         else:
-            add("text", i + 1, line, visible)
-    return blocks
+            add("text", i + 1, line)
+    return root
 
 
 def _code_end(lines: list[str], start: int) -> int:
@@ -199,11 +205,101 @@ def _code_end(lines: list[str], start: int) -> int:
     return min(blank, len(lines) if after is None else after) - 1
 
 
-def hidden_lines(markdown: str | None, rules: PageRules, site: str | None = None) -> list[int]:
+def label_key(folded: str) -> str | None:
+    """The key of a label line (``key: word, word``), or None. A key is never equal to a line."""
+    m = _LABELS.match(folded)
+    return m[1].strip() + ":\x01" if m else None
+
+
+def _undecided(root: Node):
+    """The blocks that recurrence decides on."""
+    return [b for b in root.blocks() if b.visible is None and b.kind in ("list", "text")]
+
+
+def _headings(root: Node):
+    """The undecided headings, each with whether links of the frame stand right behind it."""
+    blocks = list(root.blocks())
+    for b, after in zip(blocks, [*blocks[1:], None]):
+        if b.kind == "heading" and b.visible is None:
+            yield b, after is not None and after.kind == "link"
+
+
+def _heading_form(folded: str, before_links: bool) -> str:
+    return folded + ("\x02" if before_links else "\x03")
+
+
+def page_templates(markdown: str, rules: PageRules, site: str | None = None) -> tuple[set[str], str]:
+    """(compared forms of the lines that may recur, with the keys of label lines; the page's signature)."""
+    folded = compared_lines(markdown)
+    forms: set[str] = set()
+    root = build_tree(markdown, folded, rules, site)
+    forms.update(_heading_form(folded[h.lines[0][0] - 1], ahead) for h, ahead in _headings(root))
+    for block in _undecided(root):
+        for n, _ in block.lines:
+            forms.add(folded[n - 1])
+            if key := label_key(folded[n - 1]):
+                forms.add(key)
+    longer = [line_digest(f) for f in set(folded) if len(f) >= SIGNATURE_CHARS and "](" not in f]
+    return forms, min(longer, default=line_digest(markdown)).hex()
+
+
+def build(markdown: str, rules: PageRules, site: str | None = None, recurs=lambda form: False) -> Node:
+    """The page's tree with every block decided. ``recurs`` says whether a compared form recurs on the site."""
+    folded = compared_lines(markdown)
+    root = build_tree(markdown, folded, rules, site)
+    blocks = list(root.blocks())
+    groups: dict[int, list[Node]] = {}
+    for b in blocks:
+        groups.setdefault(b.group, []).append(b)
+    for members in groups.values():
+        open_ones = [b for b in members if b.visible is None and b.kind != "heading"]
+        if open_ones and all(b.kind in ("list", "text") and all(recurs(folded[n - 1]) for n, _ in b.lines) for b in open_ones) and not any(b.visible for b in members):
+            for b in open_ones:
+                b.visible = False
+    _decide_headings(root, folded, recurs)
+
+    def closes(block: Node) -> bool:
+        return block.kind in ("list", "text") and all(
+            recurs(form) or ((key := label_key(form)) is not None and recurs(key)) or rules.is_cue(form) for form in (folded[n - 1] for n, _ in block.lines)
+        )
+
+    titled = any(b.kind == "head" for b in blocks) or any(b.visible for b in blocks if b.kind == "heading")
+    for order in ([list(groups.values())[::-1]] if titled else [list(groups.values())[::-1], list(groups.values())]):
+        for members in order:
+            open_ones = [b for b in members if b.visible is not False]
+            if any(b.visible for b in open_ones) or not all(closes(b) for b in open_ones):
+                break
+            for b in open_ones:
+                b.visible = False
+    _decide_headings(root, folded, recurs)
+    for b in blocks:
+        if b.visible is None:
+            b.visible = True
+    return root
+
+
+def _decide_headings(root: Node, folded: list[str], recurs) -> None:
+    """Rule 5."""
+    sections, todo = {}, [root]
+    while todo:
+        node = todo.pop()
+        if node.kind == "section":
+            sections[id(node.children[0])] = node
+        todo.extend(node.children)
+    for heading, ahead in reversed(list(_headings(root))):  # inner sections first
+        form = folded[heading.lines[0][0] - 1]
+        in_front_of_content = recurs(_heading_form(form, False))
+        if ahead and not in_front_of_content:
+            inside = [b for b in sections[id(heading)].blocks() if b is not heading]
+            if recurs(_heading_form(form, True)) or all(b.visible is False for b in inside):
+                heading.visible = False
+
+
+def hidden_lines(markdown: str | None, rules: PageRules, site: str | None = None, recurs=lambda form: False) -> list[int]:
     """Numbers of the non-blank lines that aren't the page's own content."""
     if not markdown or not markdown.strip():
         return []
-    return [n for b in build(markdown, rules, site) if not b.visible for n, _ in b.lines]
+    return sorted(n for b in build(markdown, rules, site, recurs).blocks() if not b.visible for n, t in b.lines if t.strip())
 
 
 def _width(text: str) -> int:
@@ -217,13 +313,13 @@ def _table(rows: list[str]) -> list[str]:
     return ["  ".join(c + " " * (w - _width(c)) for c, w in zip(r + [""] * (columns - len(r)), widths)).rstrip() for r in cells]
 
 
-def render(markdown: str | None, rules: PageRules, site: str | None = None) -> str:
+def render(markdown: str | None, rules: PageRules, site: str | None = None, recurs=lambda form: False) -> str:
     """The visible text: one blank line between blocks, list markers and nesting kept, table cells aligned, code as it is."""
     if not markdown or not markdown.strip():
         return ""
     out: list[str] = []
-    for block in build(markdown, rules, site):
-        if not block.visible or not block.lines:
+    for block in build(markdown, rules, site, recurs).blocks():
+        if not block.visible:
             continue
         texts = [t.rstrip() for _, t in block.lines]
         if block.kind == "table":
@@ -238,38 +334,53 @@ def render(markdown: str | None, rules: PageRules, site: str | None = None) -> s
     return "\n".join(out)
 
 
-def _pages(pages: DataFrame, sites: DataFrame | None) -> DataFrame:
-    rows = spread(pages.where(F.col("page_id").isNotNull() & F.col("markdown").rlike(r"\S")).select("page_id", "tree_id", "markdown"))
+def _pages(pages: DataFrame, sites: DataFrame | None, page: str, tree: str, text: str) -> DataFrame:
+    """(site, page, text, address) of the pages with text."""
+    rows = spread(pages.where(F.col(page).isNotNull() & F.col(text).rlike(r"\S")).select(F.col(tree).alias("site"), F.col(page).alias("page"), F.col(text).alias("text")))
     if sites is None:
-        return rows.select("page_id", "markdown", F.lit(None).cast("string").alias("site"))
-    home = sites.groupBy(F.col("tree_id").alias("t")).agg(F.max("base_url").alias("site"))
-    return rows.join(home, F.col("tree_id") == F.col("t"), "left").select("page_id", "markdown", "site")
+        return rows.withColumn("address", F.lit(None).cast("string"))
+    home = sites.groupBy(F.col("tree_id").alias("t")).agg(F.max("base_url").alias("address"))
+    return rows.join(bounded_broadcast(home), F.col("site") == F.col("t"), "left").select("site", "page", "text", "address")
+
+
+def _recurring(rows: DataFrame, rules: PageRules, min_pages: int):
+    """The site's recurring forms, as a lookup for tasks (see :func:`leafmill.llm.repeats.known_templates`)."""
+
+    def forms(site, page, text, address):
+        found, signature = page_templates(text, rules, address)
+        return found, signature
+
+    return known_templates(rows, forms, min_pages, copies=True)
 
 
-def boilerplate_lines(pages: DataFrame, sites: DataFrame | None = None, phrases: dict[str, list[str]] | None = None) -> DataFrame:
-    """(page_id, line_no): the non-blank lines that aren't the page's own content. Each pair once."""
+def boilerplate_lines(pages: DataFrame, sites: DataFrame | None = None, phrases: dict[str, list[str]] | None = None, page: str = "page_id", tree: str = "tree_id", text: str = "markdown", min_pages: int = MIN_PAGES) -> DataFrame:
+    """(page, line_no): the non-blank lines that aren't the page's own content. Each pair once."""
+    rules = PageRules(phrases)
+    rows = _pages(pages, sites, page, tree, text)
+    known = _recurring(rows, rules, min_pages)
 
     def run(batches):
-        rules = PageRules(phrases)
         for batch in batches:
             names, numbers = [], []
-            for p, text, site in zip(*(c.to_pylist() for c in batch.columns)):
-                found = hidden_lines(text, rules, site)
-                names += [p] * len(found)
+            for site, name, body, address, extra in zip(*(c.to_pylist() for c in batch.columns)):
+                found = hidden_lines(body, rules, address, known.lookup(site, extra))
+                names += [name] * len(found)
                 numbers += found
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(numbers, pa.int32())], names=["page_id", "line_no"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(numbers, pa.int32())], names=[page, "line_no"])
 
-    return _pages(pages, sites).mapInArrow(run, "page_id string, line_no int").distinct()
+    return known.attached(rows).mapInArrow(run, f"`{page}` string, line_no int").distinct()
 
 
-def main_content(pages: DataFrame, sites: DataFrame | None = None, phrases: dict[str, list[str]] | None = None) -> DataFrame:
-    """(page_id, content): the rendered own content of each page; repeated rows once."""
+def main_content(pages: DataFrame, sites: DataFrame | None = None, phrases: dict[str, list[str]] | None = None, page: str = "page_id", tree: str = "tree_id", text: str = "markdown", min_pages: int = MIN_PAGES) -> DataFrame:
+    """(page, content): the rendered own content of each page; repeated rows once."""
+    rules = PageRules(phrases)
+    rows = _pages(distinct_texts(pages.where(F.col(text).rlike(r"\S")).select(page, tree, text), [page, tree], text), sites, page, tree, text)
+    known = _recurring(_pages(pages, sites, page, tree, text), rules, min_pages)
 
     def run(batches):
-        rules = PageRules(phrases)
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
-            texts = [render(t, rules, s) for t, s in zip(cols[1], cols[2])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["page_id", "content"])
+            texts = [render(t, rules, a, known.lookup(s, x)) for s, t, a, x in zip(cols[0], cols[2], cols[3], cols[4])]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(texts, pa.string())], names=[page, "content"])
 
-    return _pages(pages, sites).mapInArrow(run, "page_id string, content string").distinct()
+    return known.attached(rows).mapInArrow(run, f"`{page}` string, content string")

@@ -6,8 +6,10 @@ bit of 64 record pairs), carry-save counters update all distances at once, and a
 distances exceed the radius. Pairs within the radius pass a longer sketch and then an exact comparison of the sets.
 
 Records with equal sets are folded into one class before blocking and expanded at the end. A band bucket with more than ``TILE`` records
-is split into tiles of pairs of chunks, so no bucket is compared in one task. Blocking misses a pair of similarity 0.6 with a probability
-of about 4 in 10,000, and of 0.65 with 2 in 100,000; the radii lie five standard deviations beyond the threshold.
+is split into tiles of pairs of chunks, so no bucket is compared in one task. Large sets take their minimum hashes from the bins of one permutation; sets of at most
+``SHORT_SET`` runs, whose few values would repeat over the bins, from independent permutations, and sets up to the size that may be near such a one have both. So blocking misses a
+pair of similarity 0.6 with a probability of about 4 in 10,000, and of 0.65 with 2 in 100,000 (short sets: about one in a million); the radii lie five standard deviations beyond the threshold. The last
+comparison is exact but for equal 64-bit hashes of different token runs.
 
 Defined results: null and blank texts and texts with fewer than ``SHINGLE`` tokens have an empty set and no partner; repeated rows of
 a record are one record; equal records are partners.
@@ -25,13 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.spans import _B, _mixed, _powers
+from leafmill.operators.ranking import BROADCAST_ROWS, join_counted
 from leafmill.session import cut, spread
 
 SHINGLE, THRESHOLD = 5, 0.6
-ROWS, BANDS = 4, 56
+#: Minimum hashes in a band (of large and of short sets), and bands.
+ROWS, SHORT_ROWS, BANDS = 4, 3, 56
 #: Bits of the sketch that travel with the bands, and of the whole sketch.
 SHORT_BITS, LONG_BITS = 128, 256
 DEVIATIONS = 5.0
+#: Sets of at most this many token runs are sketched by independent permutations.
+SHORT_SET = 64
+#: Sets that one row carries partners for, in the exact comparison.
+PARTNERS = 500
 #: A bucket with more records is compared in tiles of this many.
 TILE = 2048
 #: One page in SAMPLE is counted to find such buckets; it only decides on tiling.
@@ -107,14 +115,30 @@ def bin_minima(hashes: np.ndarray, bins: int) -> np.ndarray:
     return out
 
 
-def sketch(hashes: np.ndarray) -> tuple[np.ndarray, bytes]:
-    """(band keys, one-bit sketch) of a sorted hash set."""
-    mins = bin_minima(hashes, ROWS * BANDS).reshape(BANDS, ROWS)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for i in range(ROWS):
+def independent_minima(hashes: np.ndarray, first: int, count: int) -> np.ndarray:
+    """The minimum hashes of a set under ``count`` independent permutations."""
+    seeds = _mixed((np.arange(first, first + count, dtype=np.uint64) + np.uint64(11)) * np.uint64(_B))
+    return _mixed(_mixed(hashes[:, None] ^ seeds[None, :]) * np.uint64(0xD1342543DE82EF95)).min(axis=0)
+
+
+def sketch(hashes: np.ndarray, short: bool = False) -> tuple[np.ndarray, bytes]:
+    """(band keys, one-bit sketch) of a sorted hash set; those of short sets have keys of their own."""
+    rows = SHORT_ROWS if short else ROWS
+    if short:
+        every = independent_minima(hashes, 0, rows * BANDS + LONG_BITS)
+        mins, rest = every[: rows * BANDS], every[rows * BANDS :]
+    else:
+        mins, rest = bin_minima(hashes, rows * BANDS), bin_minima(np.sort(_mixed(hashes * np.uint64(0xD1342543DE82EF95))), LONG_BITS)
+    mins = mins.reshape(BANDS, rows)
+    keys = np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS if short else 0)
+    for i in range(rows):
         keys = _mixed(keys * np.uint64(0xC2B2AE3D27D4EB4F) + mins[:, i])
-    bits = _mixed(bin_minima(np.sort(_mixed(hashes * np.uint64(0xD1342543DE82EF95))), LONG_BITS)) & np.uint64(1)
-    return keys.view(np.int64), np.packbits(bits.astype(np.uint8)).tobytes()
+    return keys.view(np.int64), np.packbits((_mixed(rest) & np.uint64(1)).astype(np.uint8)).tobytes()
+
+
+def sorts_of(size: int, threshold: float = THRESHOLD) -> list[bool]:
+    """Which sketches a set of a size has: of a short set, of a large one, or both."""
+    return [short for short in (True, False) if (size * threshold <= SHORT_SET if short else size > SHORT_SET)]
 
 
 def radius(bits: int, threshold: float = THRESHOLD) -> int:
@@ -192,26 +216,28 @@ def _groups(texts: list[str]):
         yield start, len(texts)
 
 
-def sketches(pages: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(page, digest, bands, sketch) of every record with shingles."""
+def sketches(pages: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
+    """(page, digest, short, bands, sketch) of every record with shingles; one row for each sort of sketch it has."""
 
     def run(batches):
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in _groups(texts):
-                kept, digests, bands, bits = [], [], [], []
+                kept, digests, sorts, bands, bits = [], [], [], [], []
                 for name, s in zip(names[lo:hi], shingle_sets(texts[lo:hi])):
-                    if len(s):
-                        keys, sk = sketch(s)
+                    digest = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+                    for short in sorts_of(len(s), threshold) if len(s) else ():
+                        keys, sk = sketch(s, short)
                         kept.append(name)
-                        digests.append(xxhash.xxh3_128_digest(s.tobytes()))
+                        digests.append(digest)
+                        sorts.append(short)
                         bands.append(keys)
                         bits.append(sk)
                 flat = np.concatenate(bands) if bands else np.empty(0, dtype=np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array(digests, pa.binary()), lists, pa.array(bits, pa.binary())], names=["page", "digest", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array(digests, pa.binary()), pa.array(sorts, pa.bool_()), lists, pa.array(bits, pa.binary())], names=["page", "digest", "short", "bands", "sketch"])
 
-    return spread(_texts(pages, id_col, text_col)).mapInArrow(run, "page string, digest binary, bands array<long>, sketch binary")
+    return spread(_texts(pages, id_col, text_col)).mapInArrow(run, "page string, digest binary, short boolean, bands array<long>, sketch binary")
 
 
 def _compare_buckets(batches, limit: int):
@@ -261,27 +287,36 @@ def _compare_buckets(batches, limit: int):
         yield batch_of(compare(kept))
 
 
-def candidate_pairs(reps: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
-    """(a, b): ids of class representatives whose sketches are within the radius. ``reps``: rep long, bands, sketch."""
-    rows = reps.select(F.col("rep"), F.explode("bands").alias("key"), F.substring("sketch", 1, SHORT_BITS // 8).alias("sketch"))
+def _with_chunks(rows: DataFrame, tile: int) -> DataFrame:
+    """Rows (rep, short, key, sketch) with ``chunks``, into how many parts a hot bucket is cut; null for others. Very hot keys, of which there are few, are marked by broadcast."""
     sample = rows.where(F.pmod(F.xxhash64("rep"), F.lit(SAMPLE)) == 0).groupBy("key").count()
-    hot = sample.where(F.col("count") > max(2, tile // SAMPLE)).select(F.col("key").alias("hot"), F.ceil(F.col("count") * SAMPLE * 1.5 / tile).cast("int").alias("chunks"))
-    hot = cut(hot)
-    plain = rows.select("key", F.lit(-1).alias("tile"), F.lit(0).alias("part"), F.col("rep").alias("page"), "sketch")
-    if not hot.isEmpty():
-        marked = rows.join(hot, rows["key"] == hot["hot"], "left")
-        plain = marked.where(F.col("hot").isNull()).select("key", F.lit(-1).alias("tile"), F.lit(0).alias("part"), F.col("rep").alias("page"), "sketch")
-        own = marked.where(F.col("hot").isNotNull()).withColumn("part", F.pmod(F.xxhash64(F.col("rep"), F.lit(3)), F.col("chunks")).cast("int"))
-        inside = own.select("key", (-2 - F.col("part")).alias("tile"), "part", F.col("rep").alias("page"), "sketch")
-        across = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("other <> part")
-        number = F.least("part", "other") * F.col("chunks") + F.greatest("part", "other")
-        across = across.select("key", number.cast("int").alias("tile"), "part", F.col("rep").alias("page"), "sketch")
-        plain = plain.unionByName(inside).unionByName(across)
+    hot = cut(sample.where(F.col("count") > max(2, tile // SAMPLE)).select(F.col("key").alias("hot"), F.ceil(F.col("count") * SAMPLE * 1.5 / tile).cast("int").alias("chunks"), "count"))
+    bound = (hot.agg(F.sum("count")).first()[0] or 0) // BROADCAST_ROWS + 1
+    marked = rows.join(F.broadcast(hot.where(F.col("count") >= bound)), F.col("key") == F.col("hot"), "left")  # at most BROADCAST_ROWS
+    rest = hot.where(F.col("count") < bound)
+    if rest.isEmpty():
+        return marked
+    again = marked.where(F.col("hot").isNull()).select(*rows.columns).join(rest, F.col("key") == F.col("hot"), "left")
+    return marked.where(F.col("hot").isNotNull()).unionByName(again)
+
+
+def candidate_pairs(reps: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
+    """(a, b): ids of class representatives whose sketches are within the radius. ``reps``: rep long, short, bands, sketch."""
+    rows = reps.select("rep", "short", F.explode("bands").alias("key"), F.substring("sketch", 1, SHORT_BITS // 8).alias("sketch"))
+    marked = _with_chunks(rows, tile)
+    plain = marked.where(F.col("hot").isNull()).select("key", F.lit(-1).alias("tile"), F.lit(0).alias("part"), F.col("rep").alias("page"), "sketch")
+    own = marked.where(F.col("hot").isNotNull()).withColumn("part", F.pmod(F.xxhash64(F.col("rep"), F.lit(3)), F.col("chunks")).cast("int"))
+    # the tile of a chunk with itself, and those with each other chunk
+    inside = own.select("key", (-2 - F.col("part")).alias("tile"), "part", F.col("rep").alias("page"), "sketch")
+    across = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("other <> part")
+    number = F.least("part", "other") * F.col("chunks") + F.greatest("part", "other")
+    across = across.select("key", number.cast("int").alias("tile"), "part", F.col("rep").alias("page"), "sketch")
+    dealt = plain.unionByName(inside).unionByName(across).repartition("key", "tile").sortWithinPartitions("key", "tile")
     limit = radius(SHORT_BITS, threshold)
-    spread = plain.repartition("key", "tile").sortWithinPartitions("key", "tile")
-    pairs = spread.mapInArrow(lambda b: _compare_buckets(b, limit), "a long, b long").distinct()
-    bits = reps.select("rep", "sketch")
-    pairs = pairs.join(bits.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a").join(bits.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
+    pairs = dealt.mapInArrow(lambda b: _compare_buckets(b, limit), "a long, b long").distinct()
+    bits = reps.select("rep", "short", "sketch")
+    left, right = bits.select(F.col("rep").alias("a"), "short", F.col("sketch").alias("sa")), bits.select(F.col("rep").alias("b"), "short", F.col("sketch").alias("sb"))
+    pairs = pairs.join(left, "a").join(right, ["b", "short"])
     long_limit = radius(LONG_BITS, threshold)
 
     def refine(batches):
@@ -291,102 +326,107 @@ def candidate_pairs(reps: DataFrame, threshold: float = THRESHOLD, tile: int = T
                 near = pa.array(pairs_within(left, right, long_limit))
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(refine, "a long, b long")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(refine, "a long, b long").distinct()
 
 
-def _packed48(hashes: np.ndarray) -> bytes:
-    return hashes.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+def _sends(pairs: DataFrame) -> DataFrame:
+    """(id, to): where each set is sent, at most about PARTNERS places a row. The pairs of one ``a`` are compared in parts of about PARTNERS, so a hub is nowhere gathered."""
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
+    parts = cut(parts.withColumn("rows", F.col("parts") * PARTNERS))
+    dealt = join_counted(pairs, parts, ["a"], "rows").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
+    sent = dealt.select(F.col("b").alias("id"), "a", "part").unionByName(parts.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    rows = cut(sent.groupBy("id").agg(F.count("*").alias("rows")))
+    every = join_counted(sent, rows, ["id"], "rows").withColumn("slot", F.pmod(F.xxhash64("a", "part"), F.ceil(F.col("rows") / PARTNERS)))
+    return every.groupBy("id", "slot").agg(F.collect_list(F.struct("a", "part")).alias("to")).drop("slot")
 
 
-def verified_pairs(texts: DataFrame, reps: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, similarity): candidate pairs whose sets have at least the threshold's similarity, compared exactly (48-bit shingle hashes)."""
-    links = pairs.groupBy("a").agg(F.collect_list("b").alias("to"))
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    named = involved.join(reps.select(F.col("rep").alias("id"), F.col("name")), "id").join(links.withColumnRenamed("a", "id"), "id", "left")
-    named = cut(named)
+def verified_pairs(texts: DataFrame, names: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, similarity): candidate pairs whose sets have at least the threshold's similarity. ``names``: rep, name."""
+    named = cut(_sends(pairs).join(names.select(F.col("rep").alias("id"), "name"), "id"))
     few = named.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS and pairs.limit(4 * BROADCAST_IDS + 1).count() <= 4 * BROADCAST_IDS
     hint = F.broadcast if few else (lambda x: x)
     rows = texts.join(hint(named), texts["page"] == named["name"]).select("id", "to", "text")
 
     def sets(batches):
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+
+        def packed(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 4, kinds)], names=["key", "part", "source", "blob"])
+
         for batch in batches:
             ids, to, body = (c.to_pylist() for c in batch.columns)
             for lo, hi in _groups(body):
-                key, source, blob = [], [], []
-                for i, partners, s in zip(ids[lo:hi], to[lo:hi], shingle_sets(body[lo:hi])):
-                    packed = _packed48(s)
-                    for target in [i, *(partners or [])]:
-                        key.append(target)
-                        source.append(i)
-                        blob.append(packed)
-                    if len(key) > 2000:
-                        yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(source, pa.int64()), pa.array(blob, pa.binary())], names=["key", "source", "blob"])
-                        key, source, blob = [], [], []
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(source, pa.int64()), pa.array(blob, pa.binary())], names=["key", "source", "blob"])
+                held = []
+                for i, places, s in zip(ids[lo:hi], to[lo:hi], shingle_sets(body[lo:hi])):
+                    blob = s.tobytes()
+                    for place in places:
+                        held.append((place["a"], place["part"], i, blob))
+                        if len(held) > 2000:
+                            yield packed(held)
+                            held = []
+                yield packed(held)
 
     def compare(batches):
         own_key, own = None, None
         for batch in batches:
             out = ([], [], [])
-            for key, _, source, blob in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, part, _, source, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                other = np.frombuffer(blob, dtype=np.uint64)
                 if key == source:
-                    if own_key != key:
-                        own_key, own = key, _six(blob)
-                    continue
-                other = _six(blob)
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                similarity = both / (len(own) + len(other) - both)
-                if similarity >= threshold:
-                    for c, v in zip(out, (source, key, similarity)):
-                        c.append(v)
+                    own_key, own = (key, part), other
+                elif own_key == (key, part):
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    similarity = both / (len(own) + len(other) - both)
+                    if similarity >= threshold:
+                        for c, v in zip(out, (source, key, similarity)):
+                            c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["a", "b", "similarity"])
 
-    sent = rows.mapInArrow(sets, "key long, source long, blob binary").select("key", (F.col("key") != F.col("source")).cast("int").alias("turn"), "source", "blob")
-    return sent.repartition("key").sortWithinPartitions("key", "turn").mapInArrow(compare, "a long, b long, similarity double").distinct()
-
-
-def _six(blob: bytes) -> np.ndarray:
-    wide = np.zeros((len(blob) // 6, 8), dtype=np.uint8)
-    wide[:, :6] = np.frombuffer(blob, dtype=np.uint8).reshape(-1, 6)
-    return wide.view(np.uint64).ravel()
+    sent = rows.mapInArrow(sets, "key long, part int, source long, blob binary").select("key", "part", (F.col("key") != F.col("source")).cast("int").alias("turn"), "source", "blob")
+    return sent.repartition("key", "part").sortWithinPartitions("key", "part", "turn").mapInArrow(compare, "a long, b long, similarity double").distinct()
 
 
-def _links(pages: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(members: page, rep; links between representatives: a, b, similarity)."""
-    every = cut(sketches(pages, id_col, text_col))
+def _links(pages: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members: page, rep; classes: rep, name, copies; links between classes: a, b, similarity)."""
+    every = cut(sketches(pages, id_col, text_col, threshold))
     members = every.select("digest", "page").distinct()
-    reps = every.groupBy("digest").agg(F.min("page").alias("name"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    reps = cut(reps.withColumn("rep", F.xxhash64("name")))
+    classes = members.groupBy("digest").agg(F.min("page").alias("name"), F.count("*").alias("copies"))
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()))  # unique, and fixed by the checkpoint
+    sorts = every.groupBy("digest", "short").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    reps = cut(sorts.join(classes.select("digest", "rep"), "digest").drop("digest"))
     pairs = cut(candidate_pairs(reps, threshold))
-    links = verified_pairs(_texts(pages, id_col, text_col), reps, pairs, threshold)
-    members = members.join(reps.select("digest", "rep"), "digest").select("page", "rep")
-    return members, links
+    links = verified_pairs(_texts(pages, id_col, text_col), classes, pairs, threshold)
+    members = join_counted(members, classes.select("digest", "rep", "copies"), ["digest"], "copies").select("page", "rep")
+    return members, classes.drop("digest"), links
 
 
 def near_duplicate_pairs(pages: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
     """(page_a, page_b; a < b): all pairs of records with at least the threshold's similarity, copies expanded."""
-    members, links = _links(pages, id_col, text_col, threshold)
+    members, classes, links = _links(pages, id_col, text_col, threshold)
     members, links = cut(members), cut(links)
     left = members.select(F.col("page").alias("x"), F.col("rep").alias("a"))
     right = members.select(F.col("page").alias("y"), F.col("rep").alias("b"))
     across = links.select("a", "b").join(left, "a").join(right, "b").select(F.least("x", "y").alias("page_a"), F.greatest("x", "y").alias("page_b"))
-    copied = members.groupBy("rep").agg(F.count("*").alias("n")).where("n > 1").select("rep")
-    same = members.join(copied, "rep")
-    within = same.alias("p").join(same.alias("q"), (F.col("p.rep") == F.col("q.rep")) & (F.col("p.page") < F.col("q.page"))).select(F.col("p.page").alias("page_a"), F.col("q.page").alias("page_b"))
+    # the copies of a class are paired in parts: one side dealt out, the other sent to every part
+    copied = classes.where("copies > 1").select("rep", "copies", F.ceil(F.col("copies") / PARTNERS).cast("int").alias("parts"))
+    same = join_counted(members, copied, ["rep"], "copies")
+    dealt = same.select("rep", F.pmod(F.xxhash64("page"), F.col("parts")).cast("int").alias("part"), F.col("page").alias("page_a"))
+    sent = same.select("rep", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("page").alias("page_b"))
+    within = dealt.join(sent, ["rep", "part"]).where("page_a < page_b").select("page_a", "page_b")
     return across.unionByName(within)
 
 
 def near_duplicate_groups(pages: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
     """(page, group_id, n_links): one row per record; connected records share the least page of their group; n_links counts the links of
     its class to other classes."""
-    members, links = _links(pages, id_col, text_col, threshold)
-    members, links = cut(members), cut(links.select("a", "b"))
+    members, classes, links = _links(pages, id_col, text_col, threshold)
+    links = cut(links.select("a", "b"))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy("a").agg(F.count("*").alias("n_links"))
-    label = cut(components(links))
-    out = members.join(degree.withColumnRenamed("a", "rep"), "rep", "left").join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    names = out.groupBy("label").agg(F.min("page").alias("group_id"))
-    return out.join(names, "label").select("page", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    known = classes.join(degree.withColumnRenamed("a", "rep"), "rep", "left").join(cut(components(links)), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    groups = cut(known.groupBy("label").agg(F.min("name").alias("group_id"), F.count("*").alias("rows")))
+    known = cut(join_counted(known, groups, ["label"], "rows").select("rep", "copies", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return join_counted(members, known, ["rep"], "copies").select("page", "group_id", "n_links")
 
 
 def components(links: DataFrame) -> DataFrame:

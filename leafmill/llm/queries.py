@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import content, encoding, mixing, nearest, personal, repeats, spans
+from leafmill.operators.ranking import distinct_texts
 from leafmill.session import table
 
 
@@ -18,7 +19,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_pages(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "fetch_attempts").where(F.col("markdown").rlike(r"\S")).distinct()
+    pages = distinct_texts(table(spark, folder, "fetch_attempts").where(F.col("markdown").rlike(r"\S")), ["page_id", "strategy_idx"], "markdown")
     return personal.redacted(pages, ["page_id", "strategy_idx"], ["markdown"], table(spark, folder, "person_names"))
 
 
@@ -54,6 +55,12 @@ def p4_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeated_lines(pages, "tree_id", "page_id", "markdown")
 
 
+def p4_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """Learnt templates that cover at least five pages of a site, with ``*`` for their slots."""
+    found = repeats.slot_templates(table(spark, folder, "fetch_attempts"), "tree_id", "page_id", "markdown")
+    return found.select(F.col("site").alias("tree_id"), F.replace("template", F.lit(repeats.SLOT), F.lit("*")).alias("template"), F.col("n").alias("n_lines"))
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.encode_texts(table(spark, folder, "documents"), "doc_id", "text")
 
@@ -74,6 +81,19 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(*mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")))
 
 
+def p7_curriculum(spark: SparkSession, folder: str) -> DataFrame:
+    """A mix whose repeatable sources grow in weight over training while the others shrink."""
+    targets = table(spark, folder, "mix_targets")
+    growing, shrinking = ("array(" + ", ".join(f"named_struct('at', {t}D, 'factor', {w}D)" for t, w in plan) + ")" for plan in ([(0.0, 0.2), (0.5, 1.0), (1.0, 1.8)], [(0.0, 1.5), (1.0, 0.5)]))
+    knots = F.expr(f"CASE WHEN max_repeats > 1 THEN {growing} ELSE {shrinking} END")
+    return mixing.mix(table(spark, folder, "documents"), targets, targets.select("source", knots.alias("knots")))[0]
+
+
+def p7_char_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares of a mix whose sizes are characters."""
+    return mixing.shares(*mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), size=F.length("text")))
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_spans(table(spark, folder, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id"), "span_start", "span_end")
 
@@ -82,7 +102,7 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_report(table(spark, folder, "documents"), "doc_id", "text").withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p1_authors": p1_authors, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_content": p3_content, "p4_found": p4_found, "p4_cleaned": p4_cleaned, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_report": p8_report}
+QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p1_authors": p1_authors, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_content": p3_content, "p4_found": p4_found, "p4_cleaned": p4_cleaned, "p4_templates": p4_templates, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_curriculum": p7_curriculum, "p7_char_shares": p7_char_shares, "p8_found": p8_found, "p8_report": p8_report}
 
 #: DuckDB: lines of a page compared in lower case with digit runs and white space runs folded.
 P4_SQL = r"""
@@ -127,4 +147,16 @@ l AS (SELECT tree_id, page_id, unnest(string_split(markdown, chr(10))) AS l, gen
 SELECT tree_id, page_id, coalesce(string_agg(l.l, chr(10) ORDER BY line_no) FILTER (g.line_no IS NULL), '') AS markdown FROM l LEFT JOIN gone g USING (page_id, line_no) GROUP BY tree_id, page_id"""
 )
 
-ORACLES = {"p2_found": P2_SQL, "p4_found": P4_SQL, "p4_cleaned": P4_CLEANED_SQL, "p8_found": P8_SQL}
+#: DuckDB: the mix's shares with characters for tokens; documents come in the order of their ids' digests.
+P7_CHARS_SQL = """
+WITH g AS (SELECT source, max(coalesce(target_weight, 0)) AS target_weight, max(coalesce(max_repeats, 0)) AS max_repeats FROM mix_targets WHERE source IS NOT NULL GROUP BY source),
+d AS (SELECT doc_id, source, coalesce(length(text), 0) AS n, md5(CAST(doc_id AS VARCHAR)) AS k FROM documents WHERE source IN (SELECT source FROM g)),
+r AS (SELECT *, sum(size) OVER () AS budget FROM (SELECT g.*, coalesce((SELECT sum(n) FROM d WHERE d.source = g.source), 0) AS size FROM g)),
+c AS (SELECT d.source, d.n, r.size, r.max_repeats, r.target_weight * r.budget AS demand, coalesce(sum(d.n) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
+      FROM d JOIN r ON d.source = r.source WHERE d.n > 0),
+u AS (SELECT source, sum(n * m) AS used_tokens, sum(m) AS n_copies, max(m) AS repeats FROM (SELECT source, n, greatest(0, least(max_repeats, ceil((demand - first) / size))) AS m FROM c WHERE demand > 0) GROUP BY source)
+SELECT r.source, r.target_weight, r.max_repeats, CAST(r.size AS BIGINT) AS size, CAST(r.budget AS BIGINT) AS budget, r.max_repeats * r.size < r.target_weight * r.budget AS is_short, CAST(coalesce(used_tokens, 0) AS BIGINT) AS used_tokens,
+  CAST(coalesce(n_copies, 0) AS BIGINT) AS n_copies, CAST(coalesce(repeats, 0) AS INTEGER) AS repeats, coalesce(used_tokens, 0) / sum(coalesce(used_tokens, 0)) OVER () AS actual_share FROM r LEFT JOIN u ON u.source = r.source
+"""
+
+ORACLES = {"p2_found": P2_SQL, "p4_found": P4_SQL, "p4_cleaned": P4_CLEANED_SQL, "p7_char_shares": P7_CHARS_SQL, "p8_found": P8_SQL}

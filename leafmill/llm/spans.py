@@ -4,8 +4,9 @@ Method: super-k-mer partitioning. The minimiser of a window of ``k`` characters
 consecutive windows with the same minimiser form a super-k-mer. A narrow pass first keeps the minimisers that occur in two records at
 all; only their super-k-mers travel, as one packed string each, to the bucket of their minimiser. Equal packed strings are merged on the
 way (whole super-k-mers of copied passages fold into one row), and within a bucket the windows of the strings left are sorted and
-counted, equal hashes being compared character by character. A minimiser with more than ``HOT_STRINGS`` different strings is not gathered
-in one task: its windows are spread over all tasks by 128-bit digest and counted there with map-side merging.
+counted, equal hashes being compared character by character. A bucket with more than ``HOT_STRINGS`` different strings is not gathered
+in one task: its strings are cut again by a second minimiser, of another order, and travel to the buckets of both, at most ``LEVELS`` times; the comparison is the same in all buckets.
+Keys that hold many rows (a minimiser, a copied string) are joined by broadcast instead of meeting in one task.
 
 Positions are code points; nothing is normalised. Defined results: null and short texts share nothing; a passage repeated
 within one record only is not shared; repeated rows of a record id are one record.
@@ -19,11 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.operators.ranking import join_counted
 from leafmill.session import cut, spread
 
 K, M = 250, 80
-#: A bucket with more different strings than this is counted by spread windows.
-HOT_STRINGS = 20_000
+#: A bucket with more different strings than this is cut again, so many times at most.
+HOT_STRINGS, LEVELS = 20_000, 3
 #: Code points that are hashed at once.
 CHUNK = 1_000_000
 
@@ -71,12 +73,13 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def super_kmers(points: list[np.ndarray], k: int = K, m: int = M) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(index of the text, first window, number of windows, minimiser) of every super-k-mer of several texts."""
+def super_kmers(points: list[np.ndarray], k: int = K, m: int = M, order: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the text, first window, number of windows, minimiser) of every super-k-mer of several texts. Different orders of the parts give different minimisers."""
     sizes = np.array([len(p) for p in points])
     offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     whole = np.concatenate(points)
-    least = sliding_min(part_hashes(whole, m), k - m + 1)
+    hashes = part_hashes(whole, m)
+    least = sliding_min(_mixed(hashes + np.uint64(order) * np.uint64(_B)) if order else hashes, k - m + 1)
     ends = offsets + np.maximum(sizes - k + 1, 0)
     marks = np.zeros(len(whole) + 1, dtype=np.int32)
     np.add.at(marks, offsets, 1)
@@ -204,22 +207,22 @@ def _by_characters(packed: list[str], low: list[int], high: list[int], group: np
 
 
 def _count_buckets(batches, k: int):
-    """Sorted rows (mini, digest, packed, low, high) to the shared window ranges of each string."""
+    """Sorted rows (key, digest, at, packed, low, high) to the shared window ranges of each string, counted from ``at``."""
     kept: list[tuple] = []
 
     def flush(rows):
-        minis = np.array([r[0] for r in rows], dtype=np.int64)
-        group = np.concatenate([[0], np.cumsum(minis[1:] != minis[:-1])])
+        keys = [r[0] for r in rows]
+        group = np.concatenate([[0], np.cumsum([a != b for a, b in zip(keys, keys[1:])])]).astype(np.int64)
         alone = np.bincount(group)[group] == 1
         rows = [r for r, x in zip(rows, alone) if not x]
         digests, firsts, ends = [], [], []
         if rows:
-            spans = shared_windows([r[2] for r in rows], [r[3] for r in rows], [r[4] for r in rows], group[~alone], k)
+            spans = shared_windows([r[3] for r in rows], [r[4] for r in rows], [r[5] for r in rows], group[~alone], k)
             for r, own in zip(rows, spans):
                 for a, b in own:
                     digests.append(r[1])
-                    firsts.append(a)
-                    ends.append(b)
+                    firsts.append(r[2] + a)
+                    ends.append(r[2] + b)
         return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(firsts, pa.int32()), pa.array(ends, pa.int32())], names=["digest", "a", "b"])
 
     for batch in batches:
@@ -235,13 +238,25 @@ def _count_buckets(batches, k: int):
         yield flush(kept)
 
 
-def _spread_windows(batches, k: int):
+def _cut_again(batches, k: int, m: int, order: int):
+    """Strings cut by the minimiser of another order; the key takes both."""
+    names = ["key", "digest", "at", "packed", "low", "high"]
+    kinds = (pa.string(), pa.binary(), pa.int32(), pa.string(), pa.int64(), pa.int64())
     for batch in batches:
-        for digest, packed, low, high in zip(*(c.to_pylist() for c in batch.columns)):
-            n = len(packed) - k + 1
-            own = [xxhash.xxh3_128_digest(packed[i : i + k].encode("utf-8", "surrogatepass")) for i in range(n)]
-            cols = [pa.array([digest] * n, pa.binary()), pa.array(range(n), pa.int32()), pa.array(own, pa.binary()), pa.array([low] * n, pa.int64()), pa.array([high] * n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["digest", "a", "window", "low", "high"])
+        cols: tuple[list, ...] = ([], [], [], [], [], [])
+        rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+        if rows:
+            for i, start, n, mini in zip(*(x.tolist() for x in super_kmers([_points(r[3]) for r in rows], k, m, order))):
+                key, digest, at, packed, low, high = rows[i]
+                for c, v in zip(cols, (f"{key} {mini}", digest, at + start, packed[start : start + n + k - 1], low, high)):
+                    c.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+
+
+def _bucket_sizes(strings: DataFrame) -> DataFrame:
+    """(key, c): the buckets in which a comparison can find something, with their numbers of strings."""
+    sizes = strings.groupBy("key").agg(F.count("*").alias("c"), F.max(F.col("low") == F.col("high")).alias("open"))
+    return cut(sizes.where("c > 1 and open").select("key", "c"))
 
 
 def shared_spans(docs: DataFrame, id_col: str, text_col: str, k: int = K, m: int = M, hot_strings: int = HOT_STRINGS) -> DataFrame:
@@ -249,24 +264,27 @@ def shared_spans(docs: DataFrame, id_col: str, text_col: str, k: int = K, m: int
     texts = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(text_col) >= k))
     texts = texts.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     where = _narrow(spread(texts), k, m)
-    common = where.groupBy("mini").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y").select("mini")
-    parts = where.join(common, "mini").groupBy("doc").agg(F.collect_list(F.struct("mini", "start", "n")).alias("parts"))
+    common = where.groupBy("mini").agg(F.min("doc").alias("x"), F.max("doc").alias("y"), F.count("*").alias("rows")).where("x < y")
+    parts = join_counted(where, cut(common.select("mini", "rows")), ["mini"], "rows").groupBy("doc").agg(F.collect_list(F.struct("mini", "start", "n")).alias("parts"))
     cut_out = texts.join(parts, "doc").select("doc", "text", "parts").mapInArrow(lambda b: _cut_strings(b, k), "mini long, digest binary, packed string, doc long, start int")
     members = cut(cut_out)
-    strings = members.groupBy("digest").agg(F.first("mini").alias("mini"), F.first("packed").alias("packed"), F.min("doc").alias("low"), F.max("doc").alias("high"))
+    strings = members.groupBy("digest").agg(F.first("mini").alias("mini"), F.first("packed").alias("packed"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("copies"))
     strings = cut(strings)
-    whole = strings.where("low < high").select("digest", F.lit(0).alias("a"), (F.length("packed") - (k - 1)).alias("b"))
-    per_bucket = strings.groupBy("mini").agg(F.count("*").alias("c"), F.max(F.col("low") == F.col("high")).alias("open")).where("c > 1 and open")
-    open_rows = strings.join(per_bucket, "mini")
-    cold = open_rows.where(F.col("c") <= hot_strings).select("mini", "digest", "packed", "low", "high")
-    counted = cold.repartition("mini").sortWithinPartitions("mini").mapInArrow(lambda b: _count_buckets(b, k), "digest binary, a int, b int")
-    ranges = whole.unionByName(counted)
-    if not per_bucket.where(F.col("c") > hot_strings).isEmpty():
-        hot = open_rows.where(F.col("c") > hot_strings).select("digest", "packed", "low", "high").mapInArrow(lambda b: _spread_windows(b, k), "digest binary, a int, window binary, low long, high long")
-        twice = hot.groupBy("window").agg(F.min("low").alias("x"), F.max("high").alias("y")).where("x < y").select("window")
-        ranges = ranges.unionByName(hot.join(twice, "window").select("digest", "a", (F.col("a") + 1).alias("b")))
-    spans = members.select("digest", "doc", "start").join(ranges, "digest")
-    spans = spans.select("doc", (F.col("start") + F.col("a")).alias("s"), (F.col("start") + F.col("b") + (k - 1)).alias("e")).distinct()
+    ranges = strings.where("low < high").select("digest", F.lit(0).alias("a"), (F.length("packed") - (k - 1)).alias("b"))
+    rows = strings.select(F.col("mini").cast("string").alias("key"), "digest", F.lit(0).alias("at"), "packed", "low", "high")
+    for level in range(1, LEVELS + 1):
+        sizes = _bucket_sizes(rows)
+        open_rows = join_counted(rows, sizes, ["key"], "c")
+        cold = (open_rows.where(F.col("c") <= hot_strings) if level < LEVELS else open_rows).select("key", "digest", "at", "packed", "low", "high")
+        ranges = ranges.unionByName(cold.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _count_buckets(b, k), "digest binary, a int, b int"))
+        if level == LEVELS or sizes.where(F.col("c") > hot_strings).isEmpty():
+            break
+        hot = open_rows.where(F.col("c") > hot_strings).select("key", "digest", "at", "packed", "low", "high")
+        rows = cut(hot.mapInArrow(lambda b, order=level: _cut_again(b, k, m, order), "key string, digest binary, at int, packed string, low long, high long"))
+    by_string = ranges.groupBy("digest").agg(F.collect_set(F.struct("a", "b")).alias("own"))  # one string's windows
+    by_string = cut(by_string.join(strings.select("digest", "copies"), "digest"))
+    spans = join_counted(members.select("digest", "doc", "start"), by_string, ["digest"], "copies").select("doc", "start", F.explode("own").alias("o"))
+    spans = spans.select("doc", (F.col("start") + F.col("o.a")).alias("s"), (F.col("start") + F.col("o.b") + (k - 1)).alias("e")).distinct()
     before = Window.partitionBy("doc").orderBy("s", "e")
     reach = F.max("e").over(before.rowsBetween(Window.unboundedPreceding, -1))
     runs = spans.withColumn("new", F.when(F.col("s") <= reach, 0).otherwise(1))

@@ -114,9 +114,9 @@ def test_repeated_lines(spark, monkeypatch):
     want = brute_repeats(rows)
     got = repeats.repeated_lines(df, "tree_id", "page_id", "markdown")
     assert {(r.page, r.line_no) for r in got.collect()} == want and got.count() == len(want)
-    monkeypatch.setattr(repeats, "BROADCAST_TEMPLATES", 0)
-    monkeypatch.setattr(repeats, "TREE_TEMPLATES", 3)
-    assert {(r.page, r.line_no) for r in repeats.repeated_lines(df, "tree_id", "page_id", "markdown").collect()} == want
+    monkeypatch.setattr(repeats, "TREE_FILLS", 3)
+    for most in (0, 1, None):
+        assert {(r.page, r.line_no) for r in repeats.repeated_lines(df, "tree_id", "page_id", "markdown", most=most).collect()} == want
     clean = {r.page_id: r.markdown for r in repeats.without_repeated_lines(df, "tree_id", "page_id", "markdown").collect() if r.page_id}
     assert clean["p1"] == "own text of page bbbbbbbbbbbb\nshort" and clean["n"] is None and clean["e"] == ""
     assert repeats.repeated_lines(df.where("page_id = ''"), "tree_id", "page_id", "markdown").count() == 0
@@ -142,17 +142,19 @@ own *text*
 |a|bbb|
 |---|--:|
 |长|d|
-Was  this page HELPFUL? Yes | No
 <div hidden>
 secret
 </div>
 after
+
+© 2024 Foo Corp
+
 ## 评论
 X 说：hello
 {site}"""
     rules = content.PageRules()
     hidden = content.hidden_lines(page, rules, site)
-    assert hidden == [1, 2, 3, 9, 16, 17, 18, 19, 21, 22, 23]
+    assert hidden == [1, 2, 3, 9, 16, 17, 18, 21, 23, 24, 25]
     assert content.render(page, rules, site) == "# Title of it\n\nown *text*\n\n* [own link](http://wiki.example.com/x/1)\n\n```\n无标签 in code\n```\n\na   bbb\n长  d\n\nafter"
     assert content.hidden_lines(None, rules) == [] and content.render(" \n", rules) == ""
     df = pages(spark, [("1", page, "t"), ("1", page, "t"), ("2", None, "t"), ("3", "\r\n", None), ("4", "no title\n" + "x" * 100_000, None), ("5", "# t\n```\nopen", "t")])
@@ -203,7 +205,12 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert set(got) == want and len(got) == len(want) and len(want) > 50
     monkeypatch.setattr(nearest, "TILE", 2)
     monkeypatch.setattr(nearest, "SAMPLE", 1)
-    reps = nearest.sketches(df, "page_id", "markdown").groupBy("digest").agg(F.min("page").alias("name"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).withColumn("rep", F.xxhash64("name"))
+    monkeypatch.setattr(nearest, "PARTNERS", 2)
+    again = [(x.page_a, x.page_b) for x in nearest.near_duplicate_pairs(df, "page_id", "markdown").collect()]
+    assert set(again) == want and len(again) == len(want)
+    groups = {x.page: x for x in nearest.near_duplicate_groups(df, "page_id", "markdown").collect()}
+    assert groups["copy-b"].group_id == groups["copy-a"].group_id == groups["00-0"].group_id and all(groups[a].group_id == groups[b].group_id for a, b in want)
+    reps = nearest.sketches(df, "page_id", "markdown").groupBy("digest", "short").agg(F.min("page").alias("name"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).withColumn("rep", F.xxhash64("name"))
     plain = {tuple(x) for x in nearest.candidate_pairs(reps, tile=10_000).collect()}
     tiled = {tuple(x) for x in nearest.candidate_pairs(reps, tile=2).collect()}
     assert plain == tiled and plain
