@@ -3,8 +3,9 @@
 Method: candidate gradient boosting. High-recall generators propose overlapping spans of mail addresses, phone numbers, identity numbers,
 street addresses and names; boosted trees score each span from features of its format and its context; thresholds
 calibrated on held-out examples select the spans, and the most probable of overlapping ones wins. The trees are trained here, on
-``TRAIN_LINES`` labelled lines that :mod:`leafmill.llm.personal_training` makes (a documented, fixed bound); name parts come from a list that
-is known to be incomplete, so a part may also be recognised by stem and ending that recur in the list.
+``TRAIN_LINES`` labelled lines that :mod:`leafmill.llm.personal_training` makes (a documented, fixed bound). Names are proposed by parts of a list that is known to be incomplete (a part may also be
+recognised by stem and ending that recur in the list), by common given names, and by form and context alone: capitalised words behind a form of address, a label or a sign-off, Chinese
+surnames before a form of address or behind a label. A list of more than ``MOST_NAME_PARTS`` parts, which travels to all tasks, is an error.
 
 Defined results: null, empty and blank texts have no spans and come out unchanged; all text outside of spans is unchanged; repeated rows give
 the same result each; a name that is only part of a mail address is part of that address.
@@ -27,9 +28,9 @@ from leafmill.session import spread
 KINDS = ("email", "phone", "id_number", "address", "name")
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
 #: Labelled lines that the trees are trained on.
-TRAIN_LINES = 7000
-#: More name parts than this are refused: the list travels to every task.
-MOST_NAME_PARTS = 100_000
+TRAIN_LINES = 8000
+MOST_NAME_PARTS = 1_000_000
+#: Characters of context, within the line, that features look at.
 LEFT, RIGHT = 26, 22
 
 #: Full-width forms and odd spaces, one for one, so that positions stay.
@@ -39,37 +40,51 @@ _FOLDED = re.compile("[" + "".join(map(chr, _FOLD)) + "]")
 _AT = re.compile(r"@|[\[(]\s?(?:at|a|æt)\s?[\])]|(?<=\w) at (?=[\w-]+ dot )", re.I)
 _LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63} ?\Z")
 _DOMAIN = re.compile(r" ?[A-Za-z0-9\-]+(?: ?(?:\.|[\[(]dot[\])]| dot ) ?[A-Za-z0-9\-]+)+", re.I)
-_NUMBER = re.compile(r"(?<![A-Za-z0-9.=_\-+(])[+(]{0,2}\d[\d ()\-./]{5,}[\dXx](?![A-Za-z0-9_])")
-_LETTERED = re.compile(r"(?<![A-Za-z0-9])[A-Z]{1,2} ?\d{2,3} ?\d{3,4} ?\d{0,3}(?![A-Za-z0-9])")
+_NUMBER = re.compile(r"(?:(?<![A-Za-z0-9.=_\-+(])|(?<=[A-Za-z])(?=\([+(]{0,2}\d))[+(]{0,3}\d[\d ()\-./]{3,}[\dXx](?![A-Za-z0-9_])")
+_LETTERED = re.compile(r"(?<![A-Za-z0-9])(?:[A-Z]{1,2} ?\d{2,3} ?\d{3,4} ?\d{0,3}|[A-Z](?=[A-Z0-9]*\d[A-Z0-9]*\d[A-Z0-9]*\d)[A-Z0-9]{8})(?![A-Za-z0-9])")
 _ZH_NUMBER = re.compile(r"(?<=[一-鿿])\s?\d{1,5}\s?(?:号|弄)")
-_ZH_ROAD = re.compile(r"(?:[一-鿿]{1,5}(?:省|市|区|县|镇))*[一-鿿]{1,6}?(?:大道|路|街|巷|胡同|里|道|弄)$")
+_ZH_ROAD = re.compile(r"(?:[一-鿿]{1,5}(?:省|市|区|县|镇))*[一-鿿]{1,12}?(?:大道|路|街|巷|胡同|里|道|弄)$")
+_HAN = re.compile("[一-鿿]")
 #: Words that may stand before an address and don't belong to it.
 _ZH_LEAD = ("寄往", "寄到", "寄至", "送往", "位于", "住在", "地址")
 _ZH_REST = re.compile(r"(?:\s?\d+(?:号楼|号|栋|幢|单元|楼|室))*")
 _EN_ROAD = re.compile(r"(?<=[a-z] )(?:road|rd|street|st|avenue|ave|lane|ln|drive|dr|close|court|ct|way|place|terrace|boulevard|blvd|crescent|square)\b\.?", re.I)
-_EN_HOUSE = re.compile(r"(?:(?:flat|apt|unit)\.? ?\w{1,5},? )?(?<![\w-])\d{1,5}[a-z]? +(?:[A-Za-z][\w'-]+ +){1,3}$", re.I)
+_EN_HOUSE = re.compile(r"(?:(?:flat|apt|unit)\.? ?\w{1,5},? )?(?<![\w-])\d{1,5}[a-z]? +(?:[A-Za-z][\w'-]+ +){1,5}$", re.I)
 _EN_REST = re.compile(r"(?:,? +(?:[Aa]pt|[Uu]nit|[Ss]uite|APT)\.? ?\w{1,5})?(?:,? +[A-Z][a-z]+)?(?: \d{5}\b)?")
 _DE_ROAD = re.compile(r"(?:(?<![\wäöüß])[A-ZÄÖÜ][\wäöüß-]*?(?:straße|strasse|str\.|weg|gasse|allee|platz|ring|damm|ufer)|(?<![\wäöüß])(?:Am|An der|Im|Auf dem|Zum|Zur|In der) [A-ZÄÖÜ][a-zäöüß]+) +\d{1,4} ?[a-z]?\b(?:, \d{5} [A-ZÄÖÜ][\wäöüß]+(?: [A-ZÄÖÜ][\wäöüß]+)?)?")
 _DE_HINTS = ("straße ", "strasse ", "str. ", "weg ", "gasse ", "allee ", "platz ", "ring ", "damm ", "ufer ", "Am ", "An der ", "Im ", "Auf dem ", "Zum ", "Zur ", "In der ")
 _WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]{4,}")
 _CAMEL = re.compile(r"[A-Z][a-zäöüß]{2,}(?=[A-Z][a-zäöüß]{2,}\b)")
-_BEFORE = re.compile("(?:(?<![A-Za-zÀ-ÖØ-öø-ÿ])([A-Za-zÀ-ÖØ-öø-ÿ]\\.?)|([A-Za-zÀ-ÖØ-öø-ÿ]{3,}))([ ._-]+)\\Z")
+_TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herrn?|Frau|Sir|Dame|Señor|Madame|Monsieur)\b\.? +((?:(?:Dr|Prof)\. +)?(?:[A-ZÀ-ÖØ-Þ][\w'’-]+|[A-Z]\.)(?: +(?:von|van|de|der|di)(?= ))?(?: +(?:[A-ZÀ-ÖØ-Þ][\w'’-]+|[A-Z]\.)){0,2})")
+_LABELLED = re.compile(r"\b(?:name|contact|author|(?:written|signed|posted|edited|reviewed) by|from|attendee|applicant|patient|signed|regards|best|cheers|thanks|grüße|gruß|ansprechpartner(?:in)?|autor(?:in)?|verfasser(?:in)?)\b *[:,]? *\n? *((?-i:[A-ZÀ-ÖØ-Þ][\w'’-]+(?: +[A-Z]\.)? +[A-ZÀ-ÖØ-Þ][\w'’-]+))(?![\w'’-])", re.I)
+_GIVEN_FIRST = re.compile(r"(?<![\w'’-])([A-ZÀ-ÖØ-Þ][\w’]+(?:-[A-ZÀ-ÖØ-Þ]\w+)?)((?: [A-Z]\.)? (?:(?:von|van|de|der|di|la) )*)([A-ZÀ-ÖØ-Þ][\w'’]+(?:-[A-ZÀ-ÖØ-Þ]\w+)?)(?![\w’-])")
+_ZH_TITLED = re.compile("(?=([{s}][一-鿿]{1,2}?)(?:先生|女士|老师|同学|医生|教授|经理|主任))")
+_ZH_LABELLED = re.compile("(?:姓名|联系人|作者|申请人|患者|负责人|签名)\\s*[:：]\\s*([{s}][一-鿿]{1,2})(?![一-鿿])")
 _AFTER = re.compile("(, *| +|[._-])(?:([A-Za-zÀ-ÖØ-öø-ÿ]{3,})|([A-Za-zÀ-ÖØ-öø-ÿ])\\.)")
 _CUES = {
-    "phone_left": r"电话|手机|值班|联系|tel|phone|mobil|fon\b|bereitschaft|call|number|reach|ansprech|contact|\b[mt] \(.*\):?\s*$|fax|\bat\s*$",
+    "phone_left": r"电话|手机|值班|值守|联系|\btel|phone|\bmobil|fon\b|bereitschaft|notruf|\bcall\b|number|\breach|\bring\b|ansprech|contact|\b[mt] \(.*\):?\s*$|\bfax|\bat\s*$|\bunter\s*$",
     "phone_right": r"ext|\bor [\w.+-]+|或|邮箱|,? [\w.+-]+@",
     "id_left": r"身份证|证件|护照|社保|passport|ssn|social|ausweis|identity|id card|reisepass",
-    "not_left": r"流水号|批次|serial|vorgang|teil-?nr|part no|版本|version|引擎|wiki\s*$|机器人|synced|automatic|übernommen|©|版权|端口|port|指向|host|pageid|code|ticket|order|编号|rechnung|created|updated|modified|geändert|端|v\s?$",
-    "not_right": r"同步|belongs|ist abgelegt|passt zu|保留|驱动|serves|状态|by [\w-]+bot|durch|批次",
+    "not_left": r"流水|单号|批次|serial|vorgang|teil|part|版本|version|release|build|©|版权|copyright|端口|\bport|host|page|code|ticket|order|编号|rechnung|invoice|created|updated|modified|geändert|datum|date|日期|时间|\b(?:on|am|vom|于)\s*$|v\s?$",
+    "not_right": r"^\s*(?:bot|机器人|版|批|belongs|passt|gehört|durch|by\b|自动|automat)",
     "address_left": r"办公室|地址|寄往|寄送|ship|sent to|anschrift|gingen an|office|flat|apt|:\s*$|,\s*$",
-    "address_not": r"项目|代号|track|heißt|team|改造|工程",
-    "name_left": r"记录人|联系人|收件人|联系|登记信息|由\s*\[?$|\bby\s*\[?$|\bvon\s*\[?$|reach\s*$|contact:?|sent to\s*$|ansprechperson|antrag|payroll|fragen|\ban\s*$|protokoll|minutes|notes by|@\s?$|^\s*[>*|+-]?\s*$|\|\s*$|author|verfasser|作者|passport",
-    "name_right": r"^\s*(?:说|回复|(?:（|\()|·|在评审会|replied|says|said|schreibt|meinte|vor \d|, \d+ days|, vor|remarked|,|，|。|angelegt|updated|\||please confirm|bitte|请|\]|/|<|\[|$)",
-    "product_right": r"^\s*(?:连接器|connector|street|straße|road|avenue|项目|版|组|侧|group|works|systems|labs|小组|环境|做法|导出)",
+    "address_not": r"项目|代号|计划|工程|改造|track|project|programme|initiative|team|projekt|vorhaben|heißt",
+    "name_left": r"联系人|收件人|记录人|联系|登记|姓名|作者|由\s*\[?$|\bby\s*\[?$|\bvon\s*\[?$|\bto\s*$|\ban\s*$|reach\s*$|ask\s*$|contact|ansprech|protokoll|minutes|notes|author|verfasser|autor|antrag|form\b|@\s?$|^\s*[>*|+-]?\s*$|\|\s*$|passport|attended|patient|applicant",
+    "name_right": r"^\s*(?:说|回复|(?:（|\()|·|在|replied|says|said|wrote|asked|schreibt|meint|sagt|vor \d|, \d+ days|, vor|,|，|。|\.|angelegt|updated|\||please|bitte|请|\]|/|<|\[|$)",
+    "product_right": r"^\s*(?:连接器|connector|adapter|plugin|street|straße|road|avenue|项目|版|组|侧|group|works|systems|labs|docs|gmbh|inc|小组|环境|导出)",
 }
 _CUE = {k: re.compile(v, re.I) for k, v in _CUES.items()}
+#: Common given names of several languages (fixed values, common knowledge).
+COMMON_GIVEN = set("""adam adrian alan albert alex alexander alice amanda amy ana andrea andreas andrew angela anita anna anne anton antonio arthur barbara ben benjamin bernd birgit brian carl carla carlos carmen carol
+caroline catherine charles charlotte chloe chris christian christina christine christoph claire clara claudia daniel david deborah dennis diana diego dieter dominik dorothy edward elena elisabeth elizabeth ella emily emma eric
+erik eva fatima felix fernando florian frank franz fritz gabriel george gerhard grace günter hannah hans harald harry heike heinz helen helena henry ingrid isabel jack jacob james jan jane jason jean jeff jennifer jens jessica joan johann john
+jonas jonathan jorge josef joseph juan julia julie jürgen karen karin karl kate katharina katrin kevin klaus laura leon linda lisa lucas lucia luis lukas marco margaret maria marie mark markus martin mary matthew matthias max michael miguel
+mohammed monika nicole nina olga oliver patricia patrick paul paula peter petra philipp rachel ralf rebecca richard robert rosa sabine samuel sandra sara sarah sebastian simon sofia sophie stefan stephanie stephen steven susan susanne thomas timothy tobias ursula uwe victoria
+werner william wolfgang""".split())
 #: Two-character surnames, and single ones that are rare as words (fixed values, common knowledge).
 COMPOUND_SURNAMES = set("欧阳 太史 端木 上官 司马 东方 独孤 南宫 万俟 闻人 夏侯 诸葛 尉迟 公羊 赫连 澹台 皇甫 宗政 濮阳 公冶 太叔 申屠 公孙 慕容 仲孙 钟离 长孙 宇文 司徒 鲜于 司空 闾丘 子车 亓官 司寇 巫马 公西 颛孙 壤驷 公良 漆雕 乐正 宰父 谷梁 拓跋 夹谷 轩辕 令狐 段干 百里 呼延 东郭 南门 羊舌 微生 梁丘 左丘 东门 西门".split())
+#: Single surnames that are words too: they count next to a form of address or a label only.
+WORD_SURNAMES = set("张何马高林罗刘黄金于万方石江白田叶任文史龙安常易武乔温谷左")
 SINGLE_SURNAMES = set("赵钱孙李周吴郑王冯陈褚卫蒋沈韩杨朱秦尤许吕施孔曹严魏陶姜戚谢邹喻柏窦章苏潘葛奚范彭郎鲁韦昌苗俞袁柳酆鲍廉岑薛雷贺倪汤滕殷罗毕郝邬傅卞康伍余卜顾孟黄穆萧尹姚邵湛汪祁毛禹狄臧戴宋庞熊纪舒屈项祝董杜阮闵贾娄郭梅林刁徐邱骆蔡田樊胡凌霍虞柯卢莫邓亓邴郗缑岐仉逄庹厍逯宓")
 
 
@@ -85,6 +100,8 @@ class Names:
         self.second = {g[1] for g in self.zh_given if len(g) == 2}
         self.zh = re.compile(f"[{''.join(sorted(self.first))}]\\s?[{''.join(sorted(self.second))}]") if self.first else None
         self.known: dict[str, tuple[float, float]] = {}
+        surnames = "".join(sorted(SINGLE_SURNAMES | WORD_SURNAMES | {f for f in self.zh_family if len(f) == 1}))
+        self.zh_titled, self.zh_labelled = (re.compile(p.pattern.replace("{s}", surnames)) for p in (_ZH_TITLED, _ZH_LABELLED))
 
     @staticmethod
     def _forms(words: set[str]) -> tuple[set[str], set[str]]:
@@ -151,15 +168,13 @@ def _numbers(text: str):
             s, start, end = m[0], m.start(), m.end()
             digits = re.sub(r"[^0-9xX]", "", s)
             n = len(digits)
-            if n < 7 or n > 22:
-                continue
             left, right = _near(text, start, end)
             groups = re.findall(r"\d+", s)
             bare = digits[2:] if digits.startswith("86") and n == 13 else digits[4:] if digits.startswith("0086") else digits
             token = text[max(0, text.rfind(" ", max(0, start - 120), start)) : start]
             yield start, end, [
                 n, len(groups), max(map(len, groups)), min(map(len, groups)), "+" in s[:3], digits.startswith("00"), digits.startswith("0"), "(" in s, s.count("-"), s.count("."), s.count("/"), s.count(" "),
-                s[0].isalpha(), digits[-1:] in "xX", len(bare) == 11 and bare[0] == "1" and bare[1] in "3456789", n in (7, 10) and "555" in groups, _cn_id(digits), [len(g) for g in groups] in ([3, 2, 4], [9]),
+                s[0].isalpha(), digits[-1:] in "xX", len(bare) == 11 and bare[0] == "1" and bare[1] in "3456789", n in (7, 10, 11) and "555" in groups, left.rstrip()[-1:] in tuple(",(:/"), "：" in left[-2:], _cn_id(digits), [len(g) for g in groups] in ([3, 2, 4], [9]),
                 bool(re.fullmatch(r"\d{4}[-./]\d{1,2}[-./]\d{1,2}|\d{1,2}[-./]\d{1,2}[-./]\d{4}|(?:19|20)\d\d-(?:19|20)\d\d", s)), bool(re.fullmatch(r"\d{1,3}(?:\.\d{1,3}){3}", s)),
                 _has("phone_left", left), _has("phone_right", right), _has("id_left", left), _has("not_left", left), _has("not_right", right), left[-1:] == "[", left[-1:] in ("/", "<"), "http" in token or "=" in token[-12:],
                 [len(g) for g in groups] in ([3, 4], [3, 3, 4]) , digits.startswith(("020", "030", "0171", "44", "49", "004", "1")),
@@ -168,7 +183,10 @@ def _numbers(text: str):
 
 def _addresses(text: str):
     for m in _ZH_NUMBER.finditer(text):
-        ahead = text[max(0, m.start() - 24) : m.start()]
+        first = m.start()
+        while first and _HAN.match(text, first - 1):
+            first -= 1
+        ahead = text[first : m.start()]
         road = _ZH_ROAD.search(ahead)
         if road:
             lead = max((road[0].rfind(v) + len(v) for v in _ZH_LEAD if v in road[0]), default=0)
@@ -176,7 +194,7 @@ def _addresses(text: str):
             end = _ZH_REST.match(text, m.end()).end()
             yield start, end, _address_features(text, start, end, 1, road[0].endswith(("路", "街", "巷", "大道", "胡同")), m[0].strip())
     for m in _EN_ROAD.finditer(text):
-        ahead = text[max(0, m.start() - 60) : m.start()].rpartition("\n")[2]
+        ahead = text[_words_back(text, m.start(), 10) : m.start()]
         house = _EN_HOUSE.search(ahead)
         if house:
             start = m.start() - (len(ahead) - house.start())
@@ -186,6 +204,16 @@ def _addresses(text: str):
         yield m.start(), m.end(), _address_features(text, m.start(), m.end(), 3, not m[0].startswith(("Am ", "An ", "Im ", "Auf ", "Zum ", "Zur ", "In ")), m[0])
 
 
+def _words_back(text: str, at: int, words: int) -> int:
+    """Where the line's last ``words`` words before ``at`` begin."""
+    line = text.rfind("\n", 0, at) + 1
+    for _ in range(words):
+        at = text.rfind(" ", line, max(line, at - 1))
+        if at < 0:
+            return line
+    return at + 1
+
+
 def _address_features(text: str, start: int, end: int, language: int, strong: bool, house: str) -> list:
     left, right = _near(text, start, end)
     number = re.search(r"\d+", house)
@@ -205,7 +233,7 @@ def _names(text: str, names: Names):
             while at >= 0:
                 end = at + len(word)
                 if not (_letter(text[end : end + 1]) or _letter(text[max(0, at - 1) : at])):
-                    yield at, end, _name_features(text, at, end, names.score(camel[0])[0], names.score(word[camel.end() :])[1], 3, False, False)
+                    yield at, end, _name_features(text, at, end, names.score(camel[0])[0], names.score(word[camel.end() :])[1], 3, False, 0)
                 at = text.find(word, end)
         if not family:
             continue
@@ -213,17 +241,17 @@ def _names(text: str, names: Names):
         while at >= 0:
             end = at + len(word)
             if not (_letter(text[end : end + 1]) or _letter(text[max(0, at - 1) : at])):
-                before = _BEFORE.search( text[max(0, at - 24) : at].rpartition("\n")[2])
-                after = _AFTER.match(text[end : end + 24].partition("\n")[0])
-                if before:
-                    initial, full, gap = before[1], before[2], before[3]
-                    yield at - (len(before[0])), end, _name_features(text, at - len(before[0]), end, names.score(full)[0] if full else 0.0, family, 0 if gap.strip() == "" else 1, bool(initial), word.islower())
-                if after:
-                    yield at, end + after.end(), _name_features(text, at, end + after.end(), names.score(after[2])[0] if after[2] else 0.0, family, 2, not after[2], word.islower())
+                start, first, gap = _word_before(text, at)
+                after = _AFTER.match(text, end)
+                if first:
+                    initial = len(first.rstrip(".")) == 1
+                    given = 0.0 if initial else names.score(first)[0]
+                    yield start, end, _name_features(text, start, end, given, family, 0 if gap.strip() == "" else 1, initial, (1 if word.islower() else 2 if word.isupper() else 0))
+                if after and ("," in after[1] or after[3] or names.score(after[2])[0]):
+                    yield at, after.end(), _name_features(text, at, after.end(), names.score(after[2])[0] if after[2] else 0.0, family, 2 if "," in after[1] else 10, not after[2], (1 if word.islower() else 2 if word.isupper() else 0))
             at = text.find(word, end)
-    if names.zh is None:
-        return
-    for m in names.zh.finditer(text):
+    yield from _formed_names(text, names)
+    for m in names.zh.finditer(text) if names.zh else ():
         tail = text[max(0, m.start() - 4) : m.start()].rpartition("\n")[2]
         packed = tail.replace(" ", "")
         surname, listed = "", 0.0
@@ -240,15 +268,50 @@ def _names(text: str, names: Names):
             used += tail[k] != " "
         start = m.start() - (len(tail) - k)
         given = m[0].replace(" ", "")
-        yield start, m.end(), _name_features(text, start, m.end(), 2.0 if given in names.zh_given else 1.0, listed + 3 * len(surname), 4, False, False)
+        yield start, m.end(), _name_features(text, start, m.end(), 2.0 if given in names.zh_given else 1.0, listed + 3 * len(surname), 4, False, 0)
+
+
+def _word_before(text: str, at: int) -> tuple[int, str, str]:
+    """(start, word, gap) of the word, or initial with or without a dot, before ``at`` in the line; empty without one."""
+    k = at
+    while k and text[k - 1] in " ._-":
+        k -= 1
+    j = k
+    while j and _letter(text[j - 1]):
+        j -= 1
+    word = text[j:k]
+    if k == at or not word or len(word) == 2:
+        return at, "", ""
+    if len(word) == 1 and text[k] == ".":
+        return (j, word + ".", text[k + 1 : at]) if k + 1 < at else (at, "", "")
+    return j, word, text[k:at]
+
+
+def _formed_names(text: str, names: Names):
+    """Names by form and context, whether listed or not."""
+
+    def features(start, end, form, given):
+        words = re.findall(r"[^\W\d_]+", text[start:end])
+        return _name_features(text, start, end, given, names.score(words[-1])[1] if words else 0.0, form, False, 0)
+
+    for pattern, form in ((_TITLED, 5), (_LABELLED, 6)):
+        for m in pattern.finditer(text):
+            first = m[1].split()[0].strip(".")
+            yield m.start(1), m.end(1), features(m.start(1), m.end(1), form, 1.5 if first.lower() in COMMON_GIVEN else names.score(first)[0])
+    for m in _GIVEN_FIRST.finditer(text):
+        if m[1].lower().split("-")[0] in COMMON_GIVEN:
+            yield m.start(), m.end(), features(m.start(), m.end(), 7, 1.5)
+    for pattern, form in ((names.zh_titled, 8), (names.zh_labelled, 9)):
+        for m in pattern.finditer(text):
+            yield m.start(1), m.end(1), features(m.start(1), m.end(1), form, 0.5)
 
 
-def _name_features(text: str, start: int, end: int, given: float, family: float, form: int, initial: bool, lower: bool) -> list:
+def _name_features(text: str, start: int, end: int, given: float, family: float, form: int, initial: bool, case: int) -> list:
     left, right = _near(text, start, end)
     cjk = lambda c: "一" <= c <= "鿿"
     return [
-        given, family, form, initial, lower, text[start : start + 1].isupper(), _has("name_left", left), _has("name_right", right), _has("product_right", right), left[-1:] == "@", left[-1:] == "[", cjk(left[-1:] or " "), cjk(right[:1] or " "),
-        bool(re.match(r"[\w.+-]*\s?(?:@|[\[(]at|\(a\))", text[end : end + 12])) , left.rstrip()[-1:] in ("<", ":") and "mailto" in left, "://" in left.rpartition(" ")[2], end - start,
+        given, family, form, form in (5, 8), form in (6, 9), form == 7, initial, case, text[start : start + 1].isupper(), _has("name_left", left), _has("name_right", right), _has("product_right", right), left[-1:] == "@", left[-1:] == "[", cjk(left[-1:] or " "), cjk(right[:1] or " "),
+        bool(re.match(r"[\w.+-]*\s?(?:@|[\[(]at|\(a\))", text[end : end + 12])) , left.rstrip()[-1:] in ("<", ":") and "mailto" in left, "://" in left.rpartition(" ")[2], end - start, not left.strip() and not right.strip(),
     ]
 
 
@@ -295,9 +358,10 @@ class Redactor:
         """Mail addresses first, then by probability and length, without overlaps."""
         kept: list[tuple[int, int, str]] = []
         for q, start, end, kind in sorted(found, key=lambda x: (x[3] != "email", -round(x[0], 2), x[1] - x[2], x[1])):
-            if all(end <= a or start >= b for a, b, _ in kept):
-                kept.append((start, end, kind))
-        return sorted(kept)
+            k = bisect_right(kept, (start, end, kind))
+            if (k == 0 or kept[k - 1][1] <= start) and (k == len(kept) or kept[k][0] >= end):
+                kept.insert(k, (start, end, kind))
+        return kept
 
     def redact(self, text: str, spans: list[tuple[int, int, str]]) -> str:
         out, at = [], 0

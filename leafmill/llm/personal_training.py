@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+from leafmill.llm.personal import COMMON_GIVEN
+
 #: Share of the name parts that training hides, as the list is incomplete in use too.
 HIDDEN_PARTS = 0.25
 
@@ -13,39 +15,48 @@ _VO = ["a", "e", "i", "o", "u", "ia", "oa", "ui", "ae", "io"]
 _CO = ["", "n", "r", "s", "th", "x", "l", "m"]
 _HOSTS = ["example.com", "mail.example.org", "corp.example.net", "staff.example", "wiki.test", "post.invalid", "firma.example.de"]
 _ZH_PLACE = "云梧临砚岚港东汐澈州棠溪朔宁青榆江海山湖城新安长平"
-_ZH_TEXT = ["因为证书即将过期", "结果演练按时完成", "请平台组在月底前补齐", "权限矩阵由运维组维护", "从棠楼迁出的附件", "导出速度翻倍", "以沅舟小组共同签发的版本为准", "皓屿项目的目录规范", "青川环境中的网关", "如果仍未归档"]
-_EN_TEXT = ["because permissions were muddled", "the drill ended on time", "please complete the field map", "is kept by the support bench", "moved out of the old share", "figures finally agreed", "we compared both ways"]
-_DE_TEXT = ["weil ein Zertifikat bald ablief", "die Suche blieb stabil", "bitte ergänzt die Feldliste", "liegt bei der Prüfstelle", "wurde im Wartungsfenster umgestellt"]
+#: Sentences about other matters (libraries, choirs, gardens, kitchens): only the slots are personal.
+_ZH_TEXT = ["借书证下周统一更换", "合唱排练改到礼堂", "苗圃的水管已经修好", "面团还要醒半小时", "球队明天坐早班车出发", "展柜的灯比去年亮", "下雨时活动移到室内", "门票卖完后还可以登记", "新的琴谱放在柜子里"]
+_EN_TEXT = ["the reading room opens late", "rehearsal moves to the hall", "the tulips came up early", "let the dough rest for a while", "the coach leaves at dawn", "tickets sold out fast", "the kiln cooled overnight", "we swapped the two benches"]
+_DE_TEXT = ["der Lesesaal öffnet später", "die Probe ist im Festsaal", "die Tulpen blühen schon", "der Teig ruht noch", "der Bus fährt früh ab", "die Karten waren schnell weg", "das Beet wird umgegraben"]
 
-#: {N} name, {E} mail, {P} phone, {I} identity number, {A} address; all other fields are no personal information.
+#: {N} name, {F} foreign or common name, {E} mail, {P} phone, {I} identity number, {A} address; all other fields are no personal information.
 TEMPLATES = {
     "zh": [
-        "{W}联系人：{N}（{P}）", "{W}值班电话：{P}", "> 电话 {P}（{W}）", "如有疑问请联系{N}，手机 {P}，邮箱 {E}。", "登记信息：{N}，身份证号 {I}，{W}批次。", "{t}。证件号 {I} 已核对。", "护照号码：{I}", "> {N}（{W}）", "> {W} · {E}",
-        "{N} 说：{t}。", "{N}（{n} 楼）回复：{t}。", "* {N} · {n} 天前：{t}。", "@{N} 请在周五前确认{W}的排期。", "由 [{N}](http://wiki-{x}.example.com/{x}/display/~{x}) 创建, 最后修改于 [十月 07, 2023](http://wiki.example.com/{x})",
-        "* 由 [{N}](http://wiki.example.com/{x}/display/~{x}", "由 [{N}](http://wiki.example.com/display/~{x})创建于[六月 08, 2022](http://wiki.example.com/{x})", "| {N} | {E} | {W}组 |", "{t}。（记录人：{N}）", "{N}在评审会上提到，{t}。", "{W}的入职材料已寄往{A}，收件人{N}。",
-        "{W}发票寄送地址：{A}", "> {W}办公室，{A}", "{W}流水号 {S}，批次 {n}，状态已归档。", "版权所有 © {Y} {W}，保留一切权利。", "本文由 {W}-sync 机器人于 {D} 自动同步，请勿直接编辑。", "由 {W} 文档引擎 {V} 驱动，打印时间 {n}", "{W} 路由 {n} 号端口指向 {IP}。",
-        "槐叶路项目（代号 {W}）与 {W} 合并。", "{G} 连接器与 {W} 的版本为 {v}。", "克隆地址 git@git.example.com:{x}/{x}.git", "图标文件 {x}@2x.png 放在 {x}/assets 下。", "附件（{n}） http://wiki.example.com/pages/viewpageattachments.action?pageId={n9}", "{t}，{t}。", "以{Z}小组与财务组共同签发的{W}版本为准。",
-        "{Z}项目的目录规范由架构组维护，{W}侧只负责迁移。", "从{Z}迁出的{n}个附件里，{W}占了大半。", "请平台组补齐{Z}的权限矩阵，并抽查{W}的{n}个页面。", "{Z}环境中的缓存层与{W}共用一份字段映射表。", "阅读约需 {n} 分钟 · 已有 {n9} 人浏览过这篇文档", "按第 {n} 条处理", "订单号 {n9}", "如果{W}检索服务仍未验收，请按{Z}版抽检结果执行。",
-        "[WARN] {W} mail to {E} bounced, code={n}", "值班{P}", "手机：{P}", "住址：{A}",
+        "借阅联系人：{N}（{P}）", "{W}值守电话：{P}", "> 电话 {P}（{W}）", "报名请联系{N}，手机 {P}，邮箱 {E}。", "领队：{N}，身份证号 {I}，第{n}组。", "{t}。证件号 {I} 已登记。", "护照号码：{I}", "> {N}（{W}）", "> {W} · {E}",
+        "{N} 说：{t}。", "{N}（{n} 楼）回复：{t}。", "* {N} · {n} 天前：{t}。", "@{N} 请下周带上{W}的钥匙。", "由 [{N}](http://club-{x}.example.com/{x}/display/~{x}) 创建, 最后修改于 [三月 02, 2021](http://club.example.com/{x})",
+        "* 由 [{N}](http://club.example.com/{x}/display/~{x}", "由 [{N}](http://club.example.com/display/~{x})创建于[五月 11, 2020](http://club.example.com/{x})", "| {N} | {E} | {W}队 |", "{t}。（记录人：{N}）", "{N}在排练时提到，{t}。", "{W}的奖杯已寄往{A}，收件人{N}。",
+        "{W}乐谱寄送地址：{A}", "> {W}活动室，{A}", "{W}出库单号 {S}，第 {n} 箱，已签收。", "版权所有 © {Y} {W}", "{W} 小程序 {D} 自动生成，请勿修改。", "{W} 系统版本 {V}，共 {n} 页", "用 {W} 排字机 {V} 印制", "由 {W}-timer 设备于 {D} 清洗，请勿打开。", "{W} 网关 {n} 端口对应 {IP}。",
+        "{Z}路项目（代号 {W}）并入 {W}。", "{z}街改造工程分{n}期，{W}先行。", "{G} 连接器与 {W} 的版本为 {v}。", "代码库 git@code.example.com:{x}/{x}.git", "{x}@2x.png 存于 {x}/img。", "目录（{n}） http://club.example.com/pages/list.action?pageId={n9}", "{t}，{t}。", "以{Z}小组与木工组商定的{W}尺寸为准。",
+        "{Z}项目的花名册由{W}组保管。", "{Z}送来的{n}件展品里，{W}占一半。", "请各组核对{Z}的座位表，再查{W}的{n}行。", "{Z}环境中的{W}每天备份。", "已读 {n9} 次，约 {n} 分钟", "见第 {n} 页", "订单号 {n9}", "若{W}没开门，请照{Z}版说明办理。",
+        "[WARN] {W} mail to {E} bounced, code={n}", "值守{P}", "手机：{P}", "住址：{A}", "姓名：{F}", "{F}先生{t}。", "请找{F}老师。", "联系人：{F}，{P}",
     ],
     "en": [
-        "* {W} contact: {N}, {P}", "{W} on-call number {P}", "M ({W}): {P}", "For questions on {W} reach {N} at {P} or {E}.", "{W} payroll form: {N}, SSN {I}", "{t}. The passport on file is {I}.", "{N}, {W}", "{N} says: {t}.", "{N} replied #{n} - {t}.", "* {N}, {n} days ago: {t}.",
-        "@{H} please confirm {W} by Friday.", "By {N} | Aug 18, 2017 | /x/{x}", "{N} · updated Aug 18, 2017 · {x}", "Created by {N}, last modified on Apr 03, 2024 ({x})", "| {N}, {W} | {E} |", "{t}. (minutes by {N})", "{N} remarked that this held: {t}.", "The {W} welcome box was sent to {N}, {A}.",
-        "Ship {W} devices to {A}", "{W}, {A}", "{W} desk - {E}", "{E} ({W})", "[WARN] {W} mail to {E} bounced, code={n}", "2023-04-01 WARN {W} smtp: rcpt <{E}> refused", "> {W} · {E}", "Serial {S} belongs to {W}, see {W}.", "© {Y} {W}. All rights reserved.", "Synced automatically on {D} by {W}-bot, do not edit here.",
-        "Powered by {W} Wiki {V}", "Host {IP} serves {W} on port {n} for {W}.", "The Larkmoor Street track of {W} ends with {W}.", "The {W} Road project has {n} steps.", "The {G} connector replaces {W} in {W}.", "Clone git@git.example.com:{x}/{x}.git before you start.", "{W} asset {x}@3x.png was resized.", "Use {x}@{v} together with {W}.",
-        "{n} min read · {n} views so far", "{t}, {t}.", "We counted {n} records of {W}, {n} of them from {W}.", "[Attachments ({n})](http://wiki.example.com/pages/viewpageattachments.action?pageId={n9})", "Order {n9} was closed", "Call {P}", "Kind regards,", "Dismiss this message for {n} days", "{W} Works stores small files in your browser", "Session cookies of {W} expire after {n} minutes",
+        "* {W} contact: {N}, {P}", "{W} helpline number {P}", "M ({W}): {P}", "To book {W} ask {N} at {P} or {E}.", "{W} entry form: {N}, SSN {I}", "{t}. The passport shown was {I}.", "Passport no. {I} belongs to {N}.", "{N}, {W}", "{N} says: {t}.", "{N} replied #{n} - {t}.", "* {N}, {n} days ago: {t}.",
+        "@{H} please bring {W} on Sunday.", "By {N} | Jan 12, 2015 | /x/{x}", "{N} · updated Jan 12, 2015 · {x}", "Created by {N}, last modified on May 07, 2022 ({x})", "| {N}, {W} | {E} |", "{t}. (notes by {N})", "{N} remarked that this was so: {t}.", "The {W} trophy was sent to {N}, {A}.",
+        "Post the {W} score to {A}", "{W}, {A}", "{W} desk - {E}", "{E} ({W})", "[WARN] {W} mail to {E} bounced, code={n}", "2021-06-01 WARN {W} smtp: rcpt <{E}> refused", "> {W} · {E}", "Serial {S} was stamped on {W}, see {W}.", "© {Y} {W}", "Made on {D} by {W}-bot.", "Brewed by {W} Kitchen {V}", "Run by {w} {w} since {n}",
+        "{W} Player {V}", "Typeset with {W} Press {V}", "Last rinsed on {D} by {W}-timer, do not open.", "Node {IP} runs {W} on port {n} for {W}.", "The {W} Street track of {W} ends with {W}.", "The {W} Road project has {n} stops.", "{W} Avenue team met {W}.", "The {G} connector feeds {W} into {W}.", "Fetch git@code.example.com:{x}/{x}.git first.", "{W} cover {x}@3x.png was redrawn.", "Pair {x}@{v} with {W}.",
+        "{n} min walk, {n} seats", "{W} Quick guides are {W} only", "{w} pages are {w} by design", "{t}, {t}.", "We packed {n} boxes for {W}, {n} of them by {W}.", "[Files ({n})](http://club.example.com/pages/list.action?pageId={n9})", "Order {n9} was packed", "Call {P}", "Kind regards,", "Show again in {n} days", "{W} Works sells {W}", "The {W} pass lapses after {n} minutes",
+        "Mr. {F} met {F}.", "Dr. {F} and Ms. {F}: {t}.", "Best, {F}", "Regards,\n{F}", "Regards,\n{W} Team", "Contact: {W} Office", "Contact: {F}", "{F} wrote that {t}.", "Signed by {F} for {W}.", "Thanks to {F}, {t}.",
     ],
     "de": [
-        "* Ansprechperson {W}: {N} ({P})", "Telefon {W}: {P}", "Bereitschaft {W}: {P}", "Fragen zu {W} bitte an {N}, Tel. {P}, {E}.", "Antrag {W}: {N}, Ausweisnr. {I}", "{t}. Geprüft wurde der Ausweis {I}.", "{N}, {W}", "{N} schreibt: {t}.", "{N} meinte dazu: {t}.", "* {N}, vor {n} Tagen: {t}.", "@{H} bitte {W} bis Freitag prüfen.",
-        "Von {N} angelegt, zuletzt geändert am 08.08.2020 (Kürzel {x})", "| {N}, {W} | {E} |", "{t}. (Protokoll: {N})", "Die Unterlagen zu {W} gingen an {N}, {A}.", "Lieferanschrift für {W}: {A}", "{W}, {A}", "{E} ({W})", "Rückläufer {W}: {E}", "Vorgang {S} zu {W} ist abgelegt.", "© {Y} {W}. Alle Rechte vorbehalten.",
-        "Automatisch übernommen am {D} durch {W}-Abgleich, bitte nicht ändern.", "Erstellt mit {W} Wiki {V}", "{W}: Teil-Nr. {T} passt zu {W}.", "Das Projekt Haselbornstraße heißt jetzt {W} statt {W}.", "{W} nutzt {x}@{v} als Paket.", "git@git.example.com:{x}/{x}.git klonen", "Lesedauer: etwa {n} Minuten, {n} Aufrufe",
-        "Der Cookie von {W} läuft nach {n} Tagen in {W} ab.", "{t}, {t}.", "Gezählt wurden {n} Sätze in {W}, davon {n} aus {W}.", "Der {G}-Adapter ersetzt {W}.", "Viele Grüße", "Mit dem Weg {n} kam {W} weiter", "[Anhänge ({n})](http://wiki.example.com/pages/viewpageattachments.action?pageId={n9})",
+        "* Ansprechperson {W}: {N} ({P})", "Telefon {W}: {P}", "Notruf {W}: {P}", "Zu {W} bitte {N} fragen, Tel. {P}, {E}.", "Anmeldung {W}: {N}, Ausweisnr. {I}", "{t}. Vorgelegt wurde der Ausweis {I}.", "{N}, {W}", "{N} schreibt: {t}.", "{N} meinte dazu: {t}.", "* {N}, vor {n} Tagen: {t}.", "@{H} bitte {W} am Sonntag mitbringen.",
+        "Von {N} angelegt, zuletzt geändert am 03.02.2016 (Kürzel {x})", "| {N}, {W} | {E} |", "{t}. (Protokoll: {N})", "Die Noten zu {W} gingen an {N}, {A}.", "Postanschrift für {W}: {A}", "{W}, {A}", "{E} ({W})", "Rücksendung {W}: {E}", "Vorgang {S} zu {W} ist erledigt.", "© {Y} {W}",
+        "Am {D} durch {W}-Zähler erstellt.", "{W} Spieler {V}", "Gesetzt mit {W} Satz {V}", "Gebacken mit {W} Ofen {V}", "Zuletzt gespült am {D} durch {W}-Uhr, bitte nicht öffnen.", "{W}: Teil-Nr. {T} gehört zu {W}.", "Das Projekt {w}straße heißt nun {W} statt {W}.", "Das Vorhaben {w}weg ruht.", "{W} braucht {x}@{v}.", "git@code.example.com:{x}/{x}.git holen", "Gehzeit: etwa {n} Minuten, {n} Plätze",
+        "Der Schein von {W} gilt {n} Tage in {W}.", "{t}, {t}.", "Gepackt wurden {n} Kisten für {W}, davon {n} von {W}.", "Der {G}-Adapter passt zu {W}.", "Viele Grüße", "Auf dem Weg {n} kam {W} an", "[Dateien ({n})](http://club.example.com/pages/list.action?pageId={n9})",
+        "Herr {F} traf Frau {F}.", "Viele Grüße,\n{F}", "Grüße\n{W} Gruppe", "Autorin: {F}", "{F} sagt: {t}.",
     ],
     "author": [
-        "{N}", "{N}", "{N}", "{N} <{E}>", "{E}", "{N}/{P}", "{N} [{I}]", "{N}, {A}", "{N}（财务组）", "{N} {n4}", "  {N} ", "{R}", "{L}", "u{n}", "Author {n}", "import-bot 2", "wiki-sync", "admin", "Platform Team", "系统管理员", "文档组", "匿名", "{G} Connector", "{W} Docs", "Redaktion Nord", "{Z}小组",
+        "{N}", "{N}", "{N}", "{N} <{E}>", "{E}", "{N}/{P}", "{N} [{I}]", "{N}, {A}", "{N}（木工组）", "{N} {n4}", "  {N} ", "{R}", "{L}", "u{n}", "Author {n}", "import-bot 2", "club-sync", "admin", "Garden Team", "系统管理员", "资料组", "佚名", "{G} Connector", "{W} Docs", "Redaktion Süd", "{Z}小组", "{F}", "{U}",
     ],
 }
 
+#: Given names that are words too.
+_WORD_GIVEN = "Rose Dawn Hope Grant Mark Rich Jasper Autumn River Sage Ivy Brook Dale Forest Heather Joy".split()
+#: Family names, and Chinese given names, that aren't in any list the features know.
+_FOREIGN_FAMILY = "Smith Garcia Merkel Johnson Novak Rossi Tanaka Kowalski O'Connor Lindqvist Okafor Dubois Yilmaz Petrov Haddad Nguyen Schneider Fischer Weber Hoffmann Brown Taylor Lopez Silva Moreau Larsen".split()
+_ZH_FOREIGN = ["伟", "建国", "秀英", "晓明", "丽", "志强", "雪梅", "浩然", "敏", "子涵"]
+
 
 class Maker:
     def __init__(self, parts: list[tuple[str, str, str]], seed: int):
@@ -72,6 +83,12 @@ class Maker:
         form = self.r.random() if language == "author" else 0.0
         return f"{given} {family}" if form < 0.6 else f"{family}, {given}" if form < 0.75 else f"{given[0]}. {family}" if form < 0.88 else f"{given} {family}".lower()
 
+    def foreign(self, language: str) -> str:
+        if language == "zh":
+            return self.r.choice("张王李赵刘陈杨黄周吴徐孙马朱胡郭何高林罗") + self.r.choice(_ZH_FOREIGN)
+        given = self.r.choice(sorted(COMMON_GIVEN)).capitalize()
+        return self.r.choice(["{g} {f}"] * 4 + ["{g} {i}. {f}", "{g}-{h} {f}"]).format(g=given, f=self.r.choice(_FOREIGN_FAMILY), i=self.r.choice("ABCDEFGHJKLM"), h=self.r.choice(["Marie", "Peter"]))
+
     def email(self) -> str:
         given, family = self.r.choice(self.given).lower(), self.r.choice(self.family).lower().replace("ö", "oe")
         n = self.digits(self.r.randint(1, 2))
@@ -99,8 +116,9 @@ class Maker:
             tail = d(3) + self.r.choice("0123456789X")
             return self.r.choice([f"{d(6, '123456789')}{day}{tail}"] * 3 + [f"{d(6, '123456789')} {day} {tail}", f"{d(6, '123456789')}-{day}-{tail}"])
         if language == "en":
-            return self.r.choice([f"9{d(2)}-{d(2)}-{d(4)}", f"{d(3, '123456789')} {d(2)} {d(4)}", d(9, "123456789"), f"{d(3, '123456789')}-{d(2)}-{d(4)}"])
-        return self.r.choice([f"ZZ{d(7)}", f"ZZ {d(3)} {d(4)}", f"L{d(8)}", f"C {d(3)} {d(4)}"])
+            mixed = self.r.choice("CFGHJKLMNPRTVWXYZ") + "".join(self.r.choice("CFGHJKLMNPRTVWXYZ0123456789") for _ in range(5)) + d(3)
+            return self.r.choice([mixed, f"9{d(2)}-{d(2)}-{d(4)}", f"{d(3, '123456789')} {d(2)} {d(4)}", d(9, "123456789"), f"{d(3, '123456789')}-{d(2)}-{d(4)}"])
+        return self.r.choice([f"ZZ{d(7)}", f"ZZ {d(3)} {d(4)}", f"L{d(8)}", f"C {d(3)} {d(4)}", self.r.choice("CFGHJK") + d(2) + self.r.choice("CFGHJKLMNPRTVWXYZ") + d(2) + self.r.choice("CFGHJKLMNPRTVWXYZ") + d(2)])
 
     def address(self, language: str) -> str:
         r = self.r
@@ -120,7 +138,7 @@ class Maker:
         template = r.choice(TEMPLATES[language])
         own = language if language != "author" else r.choice(["zh", "en", "de"])
         texts = {"zh": _ZH_TEXT, "en": _EN_TEXT, "de": _DE_TEXT}[own]
-        kinds = {"N": "name", "H": "name", "R": "name", "L": "name", "E": "email", "P": "phone", "I": "id_number", "A": "address"}
+        kinds = {"N": "name", "F": "name", "H": "name", "R": "name", "U": "name", "L": "name", "E": "email", "P": "phone", "I": "id_number", "A": "address"}
         out, gold, at = "", [], 0
         for m in re.finditer(r"\{(\w+)\}", template):
             out += template[at : m.start()]
@@ -128,8 +146,8 @@ class Maker:
             f = m[1]
             given, family = r.choice(self.given), r.choice(self.family)
             value = {
-                "N": lambda: self.name(language), "H": lambda: r.choice([f"{given}{family}", f"{given}.{family}", f"{given} {family}"]), "R": lambda: f"{family}, {given}", "L": lambda: f"{given} {family}".lower(), "E": self.email,
-                "P": lambda: self.phone(own), "I": lambda: self.identity(own), "A": lambda: self.address(own), "W": self.word, "t": lambda: r.choice(texts), "x": lambda: self.word().lower().replace(" ", "_").replace("/", "-"), "n": lambda: str(r.randint(1, 4000)),
+                "N": lambda: self.name(language), "H": lambda: r.choice([f"{given}{family}", f"{given}.{family}", f"{given} {family}"]), "R": lambda: f"{family}, {given}", "U": lambda: f"{family}, {r.choice(_WORD_GIVEN)}", "L": lambda: f"{given} {family}".lower(), "E": self.email,
+                "F": lambda: self.foreign(own), "w": lambda: re.split("[ /-]", self.word())[0], "z": lambda: "".join(r.choice(_ZH_PLACE) for _ in range(2)), "P": lambda: self.phone(own), "I": lambda: self.identity(own), "A": lambda: self.address(own), "W": self.word, "t": lambda: r.choice(texts), "x": lambda: self.word().lower().replace(" ", "_").replace("/", "-"), "n": lambda: str(r.randint(1, 4000)),
                 "n4": lambda: self.digits(4), "n9": lambda: self.digits(9, "123456789"), "S": lambda: self.digits(18, "123456789"), "V": lambda: r.choice([f"{r.randint(1, 9)}.{r.randint(1, 20)}.{r.randint(0, 9)}", f"{self.digits(r.randint(2, 4))}.{self.digits(4)}.{self.digits(r.randint(3, 4))}"]),
                 "v": lambda: f"{r.randint(0, 9)}.{r.randint(0, 40)}.{r.randint(0, 90)}", "D": lambda: r.choice(["2024-03-05", "05.03.2024", f"{self.digits(4)}-{self.digits(4)}-{self.digits(4)}", f"{self.digits(3)}-{self.digits(4)}-{self.digits(4)}", f"{self.digits(3)}.{self.digits(4)}.{self.digits(4)}"]),
                 "Y": lambda: r.choice(["2011-2025", "2012–2025", f"{self.digits(4)}-{self.digits(4)}", f"{self.digits(3)}-{self.digits(4)}", f"{self.digits(4)}–{self.digits(3)}"]), "T": lambda: f"{self.digits(3)}-{self.digits(2)}-{self.digits(r.randint(2, 3))}",
@@ -149,6 +167,8 @@ def examples(parts: list[tuple[str, str, str]], lines: int, seed: int) -> tuple[
     for i in range(lines):
         text, gold = maker.fill(("zh", "en", "de", "author")[i % 4])
         if maker.r.random() < 0.06:
-            text, gold = text.replace(" ", "\xa0"), gold
+            text = text.replace(" ", "\xa0")
+        elif maker.r.random() < 0.05 and len(text.upper()) == len(text):
+            text = text.upper()
         out.append((text, gold))
     return known, out
