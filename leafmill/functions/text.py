@@ -87,8 +87,11 @@ def url_path(url: Column) -> Column:
 
 
 def percent_decoded(x: Column) -> Column:
-    """Percent escapes decoded as UTF-8; ``+`` stays; a text with a bad escape stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x)
+    """Percent escapes decoded as UTF-8, with U+FFFD for bytes that aren't; ``+`` and ``%`` without two hexadecimal digits stay."""
+    pieces = F.regexp_extract_all(x, F.lit(r"(?:%[0-9A-Fa-f]{2})++|[^%]++|%"), F.lit(0))
+    escaped = lambda p: F.decode(F.unhex(F.replace(p, F.lit("%"), F.lit(""))), "UTF-8")
+    decoded = F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit("%")) & (F.length(p) > 1), escaped(p)).otherwise(p))
+    return F.when(F.contains(x, F.lit("%")), F.array_join(decoded, "")).otherwise(x)
 
 
 def url_file_name(url: Column) -> Column:
@@ -150,8 +153,7 @@ def yaml_quoted(x: Column) -> Column:
 
 def squeezed_keeping_crlf(x: Column) -> Column:
     """Three and more line breaks (LF or CRLF) become two LF; all else stays."""
-    mark = F.lit("\ue001")
-    return F.replace(F.regexp_replace(F.replace(x, F.lit("\r\n"), mark), "[\ue001\n]{3,}", "\n\n"), mark, F.lit("\r\n"))
+    return F.regexp_replace(x, r"(?:\r?\n){3,}+", "\n\n")
 
 
 def squeezed(x: Column) -> Column:

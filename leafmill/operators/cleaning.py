@@ -49,10 +49,11 @@ def attachments_index(df: DataFrame, raw: str, out: str = "attachments_index") -
     return df.withColumn(out, made).drop("__urls", "__items")
 
 
-def take_metadata(df: DataFrame, text: str, author: str = "author", last_modified: str = "last_modified") -> DataFrame:
-    """Removes bylines from ``text`` and adds their author and date (empty where missing)."""
+def take_metadata(df: DataFrame, text: str, author: str = "author", last_modified: str = "last_modified", error: str | None = None) -> DataFrame:
+    """Removes bylines from ``text`` and adds their author and date (empty where missing), with ``error`` also what went wrong in a text (null if nothing)."""
     df = df.withColumn("__byline", byline(F.col(text)))
-    return df.withColumns({text: F.col("__byline.text"), author: F.col("__byline.author"), last_modified: F.col("__byline.last_modified")}).drop("__byline")
+    fields = {text: F.col("__byline.text"), author: F.col("__byline.author"), last_modified: F.col("__byline.last_modified")}
+    return df.withColumns(fields | ({error: F.col("__byline.error")} if error else {})).drop("__byline")
 
 
 def cut_head(df: DataFrame, text: str) -> DataFrame:
@@ -238,11 +239,11 @@ def squeeze(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn(text, T.squeezed_keeping_crlf(F.col(text)))
 
 
-def clean_pages(df: DataFrame, raw: str, out: str = "cleaned") -> DataFrame:
-    """The whole chain from ``raw`` to ``out``; also adds ``author`` and ``last_modified``. Null and blank texts come out as their front matter alone."""
+def clean_pages(df: DataFrame, raw: str, out: str = "cleaned", error: str | None = None) -> DataFrame:
+    """The whole chain from ``raw`` to ``out``; also adds ``author`` and ``last_modified``, and ``error`` if asked for. Null and blank texts come out as their front matter alone."""
     df = df.withColumn("__raw", F.coalesce(F.col(raw), F.lit("")))
     df = attachments_index(df, "__raw", "__index").withColumn(out, F.col("__raw")).drop("__raw")
-    df = cut_head(take_metadata(df, out), out).withColumn(out, F.concat("__index", out)).drop("__index")
+    df = cut_head(take_metadata(df, out, error=error), out).withColumn(out, F.concat("__index", out)).drop("__index")
     for step in (prepend_front_matter, cut_tail, clean_ui, clean_anchors, dedupe_titles, link_bare_files, squeeze):
         df = step(df, out)
     return df.withColumn(out, F.concat(T.rstrip(F.col(out)), F.lit("\n")))

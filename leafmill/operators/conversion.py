@@ -6,6 +6,7 @@ conversion date is a parameter.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -92,28 +93,37 @@ def cleaned_conversion(df: DataFrame, text: str, source: str, file_type: str, mo
     return df.withColumn(out, F.concat(T.rstrip(F.col(out)), F.lit("\n")))
 
 
-def converted(df: DataFrame, path: str, content: str, converter: Callable[[str, bytes], str]) -> DataFrame:
-    """Runs an injected converter over routed files, Arrow-batched: adds ``text``, ``status`` (ok, skipped, failed) and ``error``; a failing file fails alone."""
+def converted(df: DataFrame, path: str, content: str, converter: Callable[[str, bytes], str], upgrade: Callable[[str, bytes], tuple[str, bytes]] | None = None) -> DataFrame:
+    """Runs an injected converter over routed files, Arrow-batched: ``text``, ``status`` (ok, skipped, failed), ``error`` and ``elapsed_sec``; a failing file fails alone.
+
+    Legacy files go through ``upgrade`` first, which gives the modern file's name and bytes; without one the converter gets them as they are. The other columns of ``df`` but the content come out too.
+    """
+    kept = [c for c in df.columns if c != content]
 
     def run(batches):
         for pdf in batches:
-            texts, states, errors = [], [], []
+            texts, states, errors, seconds = [], [], [], []
             for name, body, route in zip(pdf[path], pdf[content], pdf["route"]):
+                began = time.monotonic()
                 if route.startswith("skip_"):
                     row = (None, "skipped", None)
                 elif route == "unsupported":
                     row = (None, "failed", "unsupported file type")
                 else:
                     try:
+                        if route == "legacy" and upgrade:
+                            name, body = upgrade(name, body)
                         row = (converter(name, body), "ok", None)
                     except Exception as e:  # noqa: BLE001 - the converter's failure is the file's status
                         row = (None, "failed", str(e))
                 texts.append(row[0])
                 states.append(row[1])
                 errors.append(row[2])
-            yield pd.DataFrame({path: pdf[path], "route": pdf["route"], "text": texts, "status": states, "error": errors})
+                seconds.append(round(time.monotonic() - began, 3))
+            yield pd.DataFrame({**{c: pdf[c] for c in kept}, "text": texts, "status": states, "error": errors, "elapsed_sec": seconds})
 
-    return df.select(path, content, "route").mapInPandas(run, f"`{path}` string, route string, text string, status string, error string")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept)
+    return df.mapInPandas(run, f"{types}, text string, status string, error string, elapsed_sec double")
 
 
 def status_summary(results: DataFrame, groups: list[str] | None = None) -> DataFrame:

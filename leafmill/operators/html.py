@@ -205,8 +205,8 @@ def html_to_markdown(html: Column, base: Column) -> Column:
 
 def absolute_links(html: Column, base: Column) -> Column:
     """Simple HTML with the site's address before ``href`` and ``src`` values that start with ``/`` (also before ``//host``, as stated for this operator)."""
-    parts = F.regexp_replace(html, r'(?i)(<(?:a|img)\b[^>]*?\b(?:href|src)=")/', "$1\ue002/")
-    return F.replace(parts, F.lit("\ue002"), F.rtrim(base, F.lit("/")))
+    base = F.regexp_replace(F.rtrim(base, F.lit("/")), r"([\\$])", r"\\$1")  # taken literally in the replacement
+    return F.regexp_replace(html, F.lit(r'(?i)(<(?:a|img)\b[^>]*?\b(?:href|src)=")/'), F.concat(F.lit("$1"), base, F.lit("/")))
 
 
 def page_title(html: Column, page_id: Column) -> Column:

@@ -18,8 +18,8 @@ from leafmill.functions import text as T
 PLAIN, INGESTED = ["md", "txt"], ["md", "pdf", "docx", "xlsx", "txt"]
 #: Vectors compared with all queries at once in a task.
 BLOCK = 4096
-#: Queries are a stated set: more than this are refused.
-MOST_QUERIES = 10_000
+#: Queries that are compared at once: a larger set is taken in so many blocks.
+QUERY_BLOCK = 10_000
 
 
 def plain_items(docs: DataFrame, doc: str, text: str, file_type: str) -> DataFrame:
@@ -75,14 +75,22 @@ def hashed_embedding(texts: list[str], size: int = 64) -> list[list[float]]:
 
 
 def cosine_top_k(vectors: DataFrame, vec_id: str, vector: str, queries: DataFrame, k: int = 10) -> DataFrame:
-    """(query_id, vec_id, score, rank): each query's ``k`` nearest other vectors by cosine; ties by id.
+    """(query_id, vec_id, score, rank): each query's ``k`` nearest other vectors by cosine; ties by id. Ranks follow the full score, which comes out to 6 places.
 
-    Queries are a stated set (``query_id, vector``, at most MOST_QUERIES), sent to all tasks; the vectors stay where they are and are compared with them in
-    blocks, and each task passes on its own best ``k``. Null and zero vectors and those of another size have no score.
+    Queries (``query_id, vector``) are dealt into blocks of about QUERY_BLOCK; each block is sent to all tasks in its turn, the vectors stay where they are, and each task passes on its own
+    best ``k``. Null and zero vectors and those of another size have no score.
     """
-    asked = queries.where(F.col("vector").isNotNull()).limit(MOST_QUERIES + 1).collect()
-    if len(asked) > MOST_QUERIES:
-        raise ValueError(f"more than {MOST_QUERIES} queries")
+    asked = queries.where(F.col("vector").isNotNull())
+    blocks = -(-asked.count() // QUERY_BLOCK) or 1
+    every = None
+    for i in range(blocks):
+        part = _block_top_k(vectors, vec_id, vector, asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i), k)
+        every = part if every is None else every.unionByName(part)
+    return every
+
+
+def _block_top_k(vectors: DataFrame, vec_id: str, vector: str, queries: DataFrame, k: int) -> DataFrame:
+    asked = queries.collect()  # one block
     ids = np.array([r["query_id"] for r in asked], dtype=np.int64)
     size = max((len(r["vector"]) for r in asked), default=0)
     matrix = np.array([r["vector"] if len(r["vector"]) == size else [0.0] * size for r in asked], dtype=np.float64).reshape(len(asked), size)
@@ -102,7 +110,7 @@ def cosine_top_k(vectors: DataFrame, vec_id: str, vector: str, queries: DataFram
                 x = np.array([rows[i] for i in good], dtype=np.float64)
                 n = np.linalg.norm(x, axis=1, keepdims=True)
                 v = names[lo : lo + BLOCK][good]
-                s = np.round(q @ np.divide(x, n, out=np.zeros_like(x), where=n > 0).T, 6)
+                s = q @ np.divide(x, n, out=np.zeros_like(x), where=n > 0).T
                 s[:, (n == 0).ravel()] = -np.inf
                 s[qid[:, None] == v[None, :]] = -np.inf
                 best_s = np.concatenate([best_s, s], axis=1)
@@ -114,7 +122,7 @@ def cosine_top_k(vectors: DataFrame, vec_id: str, vector: str, queries: DataFram
 
     near = vectors.select(F.col(vec_id).cast("long"), vector).mapInArrow(run, "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))  # k rows a task
-    return near.withColumn("rank", place).where(F.col("rank") <= k)
+    return near.withColumn("rank", place).where(F.col("rank") <= k).withColumn("score", F.round("score", 6))
 
 
 def one_hop(relations: DataFrame, seeds: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.operators.ranking import ranked
@@ -53,6 +53,15 @@ def load_state(states: DataFrame, tree_order: Column) -> DataFrame:
     )
 
 
+STATE = "run_id string, version int, tree_order array<string>, trees_completed array<string>, last_page struct<tree_id: string, page_id: string, markdown_path: string>, status string, reason string, saved_at timestamp"
+
+
+def save_state(spark: SparkSession, path: str, run_id: str, tree_order: list[str], completed: list[str], last_page: tuple[str, str, str] | None, status: str, reason: str) -> None:
+    """Appends a checkpoint of a run: ``running`` with reasons init, page_saved and tree_done, at its end ``completed`` or ``interrupted``. One row; :func:`load_state` takes the latest."""
+    row = spark.createDataFrame([(run_id, VERSION, tree_order, completed, last_page, status, reason, None)], STATE)
+    row.withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+
+
 def last_saved(pages: DataFrame) -> DataFrame:
     """(tree_id, page_id, markdown_path): the last page saved in each tree, by pre-order. ``pages``: tree_id, page_id, preorder, markdown_path, status."""
     last = pages.where(F.col("status") == "ok").groupBy("tree_id").agg(F.max_by(F.struct("page_id", "markdown_path"), "preorder").alias("l"))

@@ -57,6 +57,15 @@ def expand(nodes: DataFrame, roots: DataFrame, max_depth: int | None = None) ->
     return out if max_depth is None else out.where(F.col("depth") <= max_depth)
 
 
+def with_snapshot_below(expanded: DataFrame, snapshot: DataFrame, max_depth: int) -> DataFrame:
+    """Nodes for a second expansion: those of one that was cut at ``max_depth``, and below the nodes at the limit what a snapshot knows. Snapshot children of nodes above the
+    limit, which the expansion knows better, are left out."""
+    kept = expanded.select("tree_id", "id", "parent_id", "pos", "title", "node_type", "slug", "depth")
+    above = kept.where(F.col("depth") < max_depth).select("tree_id", F.col("id").alias("parent_id"))
+    old = distinct_nodes(snapshot).where(F.col("parent_id").isNotNull()).join(kept.select("tree_id", "id"), ["tree_id", "id"], "left_anti").join(above, ["tree_id", "parent_id"], "left_anti")
+    return kept.drop("depth").unionByName(old)
+
+
 def subtree(expanded: DataFrame, root_id: str) -> DataFrame:
     """The nodes at and under one node, which becomes a root of depth 0."""
     at = F.array_position("ids", root_id)

@@ -99,7 +99,7 @@ def hybrid_topk(spark, folder):
 
 
 def page_sites(spark, folder):
-    rows = A.page_sites(wrapped(spark, folder), "page_id", "raw")
+    rows = A.page_sites(A.text_links(wrapped(spark, folder), "page_id", "raw"))
     return rows.groupBy("doc").agg(F.countDistinct("page_id").alias("pages"), F.countDistinct("site").alias("sites"))
 
 

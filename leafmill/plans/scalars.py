@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import text as T
 from leafmill.operators.conversion import converter_text
+from leafmill.operators.ranking import distinct_texts
 from leafmill.operators.runs import fetch_fallback
 from leafmill.operators.trees import distinct_nodes
 from leafmill.plans import sqlkit as Q
@@ -20,7 +21,7 @@ def nodes(spark: SparkSession, folder: str) -> DataFrame:
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages with Markdown, once each."""
     rows = table(spark, folder, "fetch_attempts").where(F.col("markdown").rlike(r"(?U)[^\s\x1c-\x1f]"))
-    return rows.select("page_id", "tree_id", "markdown").distinct()
+    return distinct_texts(rows.select("page_id", "tree_id", "markdown"), ["page_id", "tree_id"], "markdown")
 
 
 def wrapped(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,7 +49,7 @@ def page_stems(spark, folder):
 
 
 def attachment_names(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.attachment_name(F.col("title")).alias("name"), T.attachment_name(F.substring("text", 1, 300)).alias("from_text"))
+    return table(spark, folder, "documents").select("doc_id", T.attachment_name(F.col("title")).alias("name"), T.attachment_name(F.col("text")).alias("from_text"))
 
 
 def _links(spark, folder):
@@ -143,7 +144,7 @@ ORACLES = {
     "page_stems": f"""SELECT tree_id, id, concat(tree_id, '/', CASE WHEN {_STRIPPED} <> '' THEN {Q.file_name(_STRIPPED)} WHEN plain <> '' THEN {Q.file_name('plain')} ELSE {_SEGMENT} END, '.md') AS path
       FROM {Q.NODES} LEFT JOIN (SELECT tree_id, page_id AS id, {_PLAIN} AS plain FROM {Q.FALLBACK}) USING (tree_id, id)""",
     "attachment_names": f"""SELECT doc_id, substr(coalesce(nullif({Q.strip("regexp_replace(coalesce(title, ''), '[<>:" + chr(34) + "/" + chr(92) * 2 + "|?*]', '_', 'g')")}, ''), 'attachment'), 1, 180) AS name,
-      substr(coalesce(nullif({Q.strip("regexp_replace(coalesce(substr(text, 1, 300), ''), '[<>:" + chr(34) + "/" + chr(92) * 2 + "|?*]', '_', 'g')")}, ''), 'attachment'), 1, 180) AS from_text FROM documents""",
+      substr(coalesce(nullif({Q.strip("regexp_replace(coalesce(text, ''), '[<>:" + chr(34) + "/" + chr(92) * 2 + "|?*]', '_', 'g')")}, ''), 'attachment'), 1, 180) AS from_text FROM documents""",
     "url_file_names": f"""SELECT url, name, concat(substr(md5(url), 1, 8), '_', name) AS collision_name FROM (SELECT url, {_NAME} AS name FROM (SELECT DISTINCT unnest(regexp_extract_all(raw, '(https?://[^)\\s"'']+)', 1)) AS url FROM {_W}))""",
     "download_urls": f"""SELECT tree_id, id, CASE pos % 4 WHEN 0 THEN base_url || '/download/' || id WHEN 1 THEN base_url || '/x/' || id WHEN 2 THEN 'HTTP://h.example.com/' || id ELSE '' END AS url
       FROM {Q.NODES} JOIN (SELECT DISTINCT tree_id, base_url FROM page_trees) USING (tree_id)""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -29,11 +30,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, driver_
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``; only where that is unset (tests) a local one."""
+    """Use the shared folder named in ``spark.checkpoint.dir``. Where it is unset, a local master (tests, benches) gets a folder of its own; on a cluster that is an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = sc.getConf().get("spark.checkpoint.dir")
+    if not shared and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir isn't set: it must name a folder that all executors share")
     sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "leafmill-checkpoints"))
 
 

@@ -14,6 +14,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 ERROR_CHARS = 500
@@ -77,15 +79,29 @@ def get_json(backend: Backend, path: str, params: dict[str, Any] | None = None)
     return json.loads(body)
 
 
-def try_json(backend: Backend, path: str, params: dict[str, Any] | None = None) -> dict | None:
-    """The decoded answer, or None for a refused or missing page or one that isn't JSON."""
-    status, body = backend.get(path, params or {})
+def tolerant_json(backend: Backend, path: str, params: dict[str, Any] | None = None) -> tuple[int, dict | None]:
+    """(status, decoded answer): None for a refused or missing page or one that isn't JSON. A call that fails without a status has status 0."""
+    try:
+        status, body = backend.get(path, params or {})
+    except OSError:
+        return 0, None
     if not 200 <= status < 300:
-        return None
+        return status, None
     try:
-        return json.loads(body)
+        return status, json.loads(body)
     except ValueError:
-        return None
+        return status, None
+
+
+def try_json(backend: Backend, path: str, params: dict[str, Any] | None = None) -> dict | None:
+    """The answer of :func:`tolerant_json` alone."""
+    return tolerant_json(backend, path, params)[1]
+
+
+def page_meta(backend: Backend, page_id: str, path: str = "/content/{id}") -> dict[str, Any]:
+    """id, title, type and slug of a page; a missing or empty title is ``page_<id>``, a missing type ``page``."""
+    data = get_json(backend, path.replace("{id}", page_id))
+    return {"id": page_id, "title": data.get("title") or f"page_{page_id}", "type": data.get("type") or "page", "slug": data.get("slug")}
 
 
 def following_start(link: str | None, start: int, limit: int) -> int | None:
@@ -110,7 +126,7 @@ def counted_pages(backend: Backend, path: str, limit: int = 50) -> Iterator[tupl
     """(page number, position, item) until a page is empty, short or refused."""
     start, number = 0, 0
     while True:
-        part = (try_json(backend, path, {"start": start, "limit": limit}) or {}).get("results") or []
+        part = (tolerant_json(backend, path, {"start": start, "limit": limit})[1] or {}).get("results") or []
         for pos, item in enumerate(part):
             yield number, pos, item
         if len(part) < max(1, limit):
@@ -137,6 +153,52 @@ def fetch_page(fetch: Callable[[str, int], tuple[str, str]], page_id: str, strat
     return f"page_{page_id}", "", error, max(1, min(2, strategies)) - 1
 
 
+def with_login(backend_of: Callable[["Credentials"], Backend], credentials: "Credentials", login: Callable[["Credentials"], "Credentials"] | None = None) -> Backend:
+    """A backend with credentials, renewed once by the login hook after a call was refused with 401 or 403."""
+
+    class Session:
+        def __init__(self):
+            self.inner, self.renewed = backend_of(credentials), False
+
+        def get(self, path, params):
+            status, body = self.inner.get(path, params)
+            if status in (401, 403) and login and not self.renewed:
+                self.renewed, self.inner = True, backend_of(login(credentials))
+                status, body = self.inner.get(path, params)
+            return status, body
+
+    return Session()
+
+
+def children_of(parents: DataFrame, make_backend: Callable[[], Backend], path: str = "/content/{id}/child/page", limit: int = 50) -> DataFrame:
+    """(tree_id, parent_id, id, pos, title, node_type, slug): the children of each parent (tree_id, id), listed where the parents are. A page without children gives none."""
+
+    def run(batches):
+        backend = make_backend()
+        for pdf in batches:
+            rows = []
+            for tree, parent in zip(pdf["tree_id"], pdf["id"]):
+                for place, (_, _, item) in enumerate(linked_pages(backend, path.replace("{id}", parent), limit)):
+                    if item.get("id") is not None:
+                        own = str(item["id"])
+                        rows.append((tree, parent, own, place, item.get("title") or f"page_{own}", item.get("type") or "page", item.get("slug")))
+            yield pd.DataFrame(rows, columns=["tree_id", "parent_id", "id", "pos", "title", "node_type", "slug"])
+
+    return parents.select("tree_id", "id").mapInPandas(run, "tree_id string, parent_id string, id string, pos int, title string, node_type string, slug string")
+
+
+def pages_of(nodes: DataFrame, make_fetch: Callable[[], Callable[[str, int], tuple[str, str]]], strategies: int = 2, pause: Callable[[float], None] = time.sleep) -> DataFrame:
+    """The attempts table (page_id, tree_id, strategy_idx, title, markdown, error) of nodes (tree_id, id), fetched where the nodes are."""
+
+    def run(batches):
+        fetch = make_fetch()
+        for pdf in batches:
+            rows = [(p, t, k, title, markdown, error) for t, p in zip(pdf["tree_id"], pdf["id"]) for title, markdown, error, k in [fetch_page(fetch, p, strategies, pause)]]
+            yield pd.DataFrame(rows, columns=["page_id", "tree_id", "strategy_idx", "title", "markdown", "error"])
+
+    return nodes.select("tree_id", "id").mapInPandas(run, "page_id string, tree_id string, strategy_idx int, title string, markdown string, error string")
+
+
 class _Page(InputPartition):
     def __init__(self, page_id: str):
         self.page_id = page_id

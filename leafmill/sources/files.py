@@ -77,9 +77,11 @@ def tolerant_utf8(content: Column) -> Column:
     return decode(content)
 
 
-def markdown_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(rel_path, text) of all Markdown files below a folder."""
+def markdown_files(spark: SparkSession, folder: str, most_bytes: int | None = None) -> DataFrame:
+    """(rel_path, text) of all Markdown files below a folder; with ``most_bytes`` larger ones aren't read."""
     files = list_files(spark, folder, content=True, glob="*.md")
+    if most_bytes is not None:
+        files = files.where(F.col("size") <= most_bytes)
     return files.select("rel_path", tolerant_utf8(F.col("content")).alias("text"))
 
 

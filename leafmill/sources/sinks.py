@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +28,36 @@ def write_page_files(pages: DataFrame, folder: str) -> None:
     pages.select("rel_path", "content").foreachPartition(put)
 
 
-def _replace(target: str, text: str) -> None:
+def _replace(target: str, content: str | bytes) -> None:
     handle, temp = tempfile.mkstemp(dir=os.path.dirname(target) or ".", suffix=".part")
-    with os.fdopen(handle, "w", encoding="utf-8", newline="\n") as f:
-        f.write(text)
+    with os.fdopen(handle, "wb") as f:
+        f.write(content.encode("utf-8", "surrogatepass") if isinstance(content, str) else content)
     os.replace(temp, target)
 
 
+def fetch_attachments(plan: DataFrame, folder: str, fetch: Callable[[str], bytes]) -> DataFrame:
+    """(doc, url, file_name, ok, error): fetches the planned files (doc, url, file_name) into one folder per document below a folder that all executors share.
+
+    A file that exists and isn't empty is a success and isn't fetched again; others are written beside and renamed, so that no half file stays under its name. A failing file fails alone.
+    """
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for doc, url, name in zip(pdf["doc"], pdf["url"], pdf["file_name"]):
+                target, error = os.path.join(folder, str(doc), name), None
+                if not (os.path.isfile(target) and os.path.getsize(target)):
+                    try:
+                        os.makedirs(os.path.dirname(target), exist_ok=True)
+                        _replace(target, fetch(url))
+                    except Exception as e:  # noqa: BLE001 - the error is the file's status
+                        error = str(e) or type(e).__name__
+                rows.append((str(doc), url, name, error is None, error))
+            yield pd.DataFrame(rows, columns=["doc", "url", "file_name", "ok", "error"])
+
+    return plan.select("doc", "url", "file_name").mapInPandas(run, "doc string, url string, file_name string, ok boolean, error string")
+
+
 def write_snapshot(text: str, target: str) -> None:
     """A snapshot file, replaced as a whole."""
     os.makedirs(os.path.dirname(os.path.abspath(target)), exist_ok=True)

@@ -27,7 +27,7 @@ def test_names_and_paths(spark):
     assert one(spark, lambda x: T.file_name(x), x=None) == "untitled"
     assert one(spark, lambda x: T.markdown_path(x), x="a/.hidden") == "a/.hidden.md"
     assert one(spark, lambda x: T.markdown_path(x), x="a.b/c.tar.gz") == "a.b/c.tar.md"
-    assert one(spark, lambda x: T.url_file_name(x), x=f"{URL}/a/b%20c+d%zz.png?x=1") == "b%20c+d%zz.png"
+    assert one(spark, lambda x: T.url_file_name(x), x=f"{URL}/a/b%20c+d%zz.png?x=1") == "b c+d%zz.png"
     assert one(spark, lambda x: T.url_file_name(x), x=f"{URL}/a/%E4%BD%A0+.png#f") == "你+.png"
     assert one(spark, lambda x: T.url_file_name(x), x=URL) == "attachment.bin"
     assert one(spark, lambda x: T.attachment_count(x), x="附件（2） t(3)附件") == "3"
@@ -172,3 +172,37 @@ def test_stream_cleans_each_file_once(spark, tmp_path):
     assert rows.count() == 2 and "评论" not in "".join(r.cleaned for r in rows.collect())
     add_cleaned(rows.selectExpr("path", "'again' AS text"), table)
     assert spark.read.parquet(table).count() == 2
+
+
+def test_changed_files_are_cleaned_again(spark, tmp_path):
+    from leafmill.streaming.incremental import latest_cleaned
+
+    make = lambda rows: spark.createDataFrame(rows, "path string, mtime timestamp, text string")
+    at = lambda d: __import__("datetime").datetime(2024, 1, d)
+    table = str(tmp_path / "t")
+    for _ in range(2):  # a repeated batch replaces itself
+        add_cleaned(make([("a", at(1), "one"), ("b", at(1), "two")]), table, 0)
+    add_cleaned(make([("a", at(2), "changed")]), table, 1)
+    assert spark.read.parquet(table).count() == 3
+    assert {r.path: "changed" in r.cleaned for r in latest_cleaned(spark, table).collect()} == {"a": True, "b": False}
+    add_cleaned(make([("b", at(1), "again"), ("c", at(1), "new")]), table)
+    assert spark.read.parquet(table).count() == 4
+
+
+def test_private_use_characters_and_escapes_stay(spark):
+    from leafmill.functions import text as X
+    from leafmill.operators.html import absolute_links
+
+    df = spark.createDataFrame([("ab\r\n\n\r\nc", "x%zzy%20z%E4%BD%A0%", '<a href="/x">/</a>')], "t string, u string, h string")
+    got = df.select(X.squeezed_keeping_crlf(F.col("t")).alias("t"), X.percent_decoded(F.col("u")).alias("u"), absolute_links(F.col("h"), F.lit("http://h/$1/")).alias("h")).first()
+    assert (got.t, got.u, got.h) == ("ab\n\nc", "x%zzy z你%", '<a href="http://h/$1/x">/</a>')
+
+
+def test_queries_in_blocks_rank_alike(spark, monkeypatch):
+    from leafmill.operators import retrieval as G
+
+    vectors = spark.createDataFrame([(i, [float(i % 7), 1.0, float(i % 5)]) for i in range(40)], "id long, v array<double>")
+    asked = vectors.where("id % 4 = 0").selectExpr("id AS query_id", "v AS vector")
+    plain = {tuple(r) for r in G.cosine_top_k(vectors, "id", "v", asked, 3).collect()}
+    monkeypatch.setattr(G, "QUERY_BLOCK", 3)
+    assert {tuple(r) for r in G.cosine_top_k(vectors, "id", "v", asked, 3).collect()} == plain and len(plain) == 30
