@@ -10,6 +10,8 @@ from leafmill.session import cut
 
 #: A side is broadcast only if it has at most this many rows.
 BROADCAST_ROWS = 200_000
+#: Hot keys of a join that are broadcast, at most.
+HOT_KEYS = 50_000
 
 
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -17,7 +19,7 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str, rows: int = HOT_KEYS) -> DataFrame:
     """``left`` joined with ``right``, which has one row a key and in ``n`` how many rows of ``left`` have the key (``right`` is read several times: pass a stored one).
 
     Keys that hold at least the ``rows``-th part of what is counted are at most ``rows`` many; they are joined by broadcast, so no hot key meets in one task. The others are joined by shuffle,
