@@ -11,7 +11,7 @@ from leafmill.session import cut
 #: A side is broadcast only if it has at most this many rows.
 BROADCAST_ROWS = 200_000
 #: Hot keys of a join that are broadcast, at most.
-HOT_KEYS = 50_000
+HOT_KEYS = 20_000
 
 
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
